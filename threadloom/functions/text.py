@@ -9,7 +9,7 @@ import re
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from threadloom.constants import (
     CONTEXT_CHARS,
@@ -29,7 +29,7 @@ USER_PREFIX = r"(?iu)^(?:USER[:\-.," + WS_BODY + "]*)+"
 DIRECT_MESSAGE = rf"(?iu)(?:^|[^{WORD_BODY}])(?:dm|direct message)(?:[^{WORD_BODY}]|$)"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decode_entities(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 

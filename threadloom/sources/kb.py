@@ -19,14 +19,11 @@ def kb_count(kb: DataFrame) -> DataFrame:
     return kb.agg(F.count("embedding").alias("vectors"))
 
 
-def kb_dump(kb: DataFrame, query_vector, k: int | None = 10000) -> DataFrame:
-    """Ranked text blocks for one query; ``k=None`` ranks the whole table.
-
-    ``query_vector`` is a Column holding one constant vector (a literal or a
-    scalar subquery).
-    """
+def kb_dump(kb: DataFrame, query_vector: list[float], k: int | None = 10000) -> DataFrame:
+    """Ranked text blocks for one query vector; ``k=None`` ranks the whole table."""
+    query = F.array(*[F.lit(float(v)) for v in query_vector])
     scored = kb.where(F.col("embedding").isNotNull()).withColumn(
-        "score", F.round(cosine_similarity(F.col("embedding"), query_vector), 12)
+        "score", F.round(cosine_similarity(F.col("embedding"), query), 12)
     )
     order = [F.col("score").desc(), F.col("source").asc(), F.col("chunk_idx").asc()]
     if k is None:
@@ -52,6 +49,7 @@ def kb_dump(kb: DataFrame, query_vector, k: int | None = 10000) -> DataFrame:
 
 def save_dump(blocks: DataFrame, path: str) -> None:
     """Write blocks as text in rank order (one file per range of ranks)."""
+    # The writer ends every value with the last of the block's two newlines.
     blocks.repartitionByRange("rank").sortWithinPartitions("rank").select(
-        "block"
-    ).write.mode("errorifexists").option("lineSep", "").text(path)
+        F.expr("left(block, length(block) - 1)").alias("block")
+    ).write.mode("errorifexists").text(path)
