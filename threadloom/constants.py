@@ -197,10 +197,14 @@ IGNORE_LABEL = -100
 HISTORY_LINES = 6
 
 # --- regex classes that mean the same in Java regex and RE2 -----------------
-# Unicode whitespace including the \x1c-\x1f separators.
-WS_BODY = (
-    r"\t\n\x0B\f\r\x1c-\x1f \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# Unicode whitespace including the \x1c-\x1f separators. \p{Z} is the blanks and
+# line separators from U+0020 to U+3000; single characters make one bit set in Java.
+WS_BODY = r"\t\n\x0B\f\r\x1c\x1d\x1e\x1f\x{85}\p{Z}"
+# The same characters as a plain string, for trimming.
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
 )
 WS = "[" + WS_BODY + "]"
 NOT_WS = "[^" + WS_BODY + "]"

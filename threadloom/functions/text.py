@@ -20,11 +20,12 @@ from threadloom.constants import (
     WORD_BODY,
     WS,
     WS_BODY,
+    WS_CHARS,
 )
 
 URL = f"http{NOT_WS}+|www{NOT_WS}+"
 MENTION = f"@{WORD}+"
-NOT_KEPT = r"[^a-zA-Z0-9.!?,\-:'" + WS_BODY + "]"
+NOT_KEPT = r"[^a-zA-Z0-9.!?,\-:'" + WS_BODY + "]+"
 USER_PREFIX = r"(?iu)^(?:USER[:\-.," + WS_BODY + "]*)+"
 DIRECT_MESSAGE = rf"(?iu)(?:^|[^{WORD_BODY}])(?:dm|direct message)(?:[^{WORD_BODY}]|$)"
 
@@ -89,7 +90,7 @@ def squeeze_ws(text: Column) -> Column:
 
 def strip_ws(text: Column) -> Column:
     """Trim Unicode whitespace on both ends."""
-    return F.regexp_replace(text, rf"\A{WS}+|{WS}+\z", "")
+    return F.btrim(text, F.lit(WS_CHARS))
 
 
 def clean_text(text: Column, tags: dict[str, str] = EMOJI_TAGS) -> Column:

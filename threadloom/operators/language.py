@@ -1,10 +1,16 @@
 """Language labels from character-trigram profiles."""
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from threadloom.sources.stages import cut_lineage
+
 MAX_LANGUAGES = 500
+# Profiles estimated to stay below this are broadcast.
+BROADCAST_BYTES = 128 << 20
+ROW_BYTES = 80
 GRAM = r"(?s)(?=(.{3}))."
 
 
@@ -13,10 +19,10 @@ def trigrams(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(GRAM), F.lit(1))
 
 
-def _gram_counts(texts: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+def _gram_counts(texts: DataFrame, key: str, text_col: str) -> DataFrame:
     return (
-        texts.select(*keys, F.explode(trigrams(F.col(text_col))).alias("gram"))
-        .groupBy(*keys, "gram")
+        texts.select(key, F.explode(trigrams(F.col(text_col))).alias("gram"))
+        .groupBy(key, "gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -26,31 +32,48 @@ class LanguageProfiles:
     """One row per trigram with its log-probability in each language."""
 
     grams: DataFrame
+    size: int
     unseen: dict[str, float]
 
     def predict(self, texts: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
-        """``id, language``; a text without trigrams gets NULL."""
+        """``id, language``; a text without trigrams gets NULL.
+
+        A profile of checked size is broadcast to the exploded trigrams, which are
+        summed up before anything is shuffled. A larger one is joined to trigram
+        counts per text.
+        """
+        pieces = texts.select(
+            id_col, F.explode_outer(trigrams(F.col(text_col))).alias("gram")
+        ).withColumn("n", F.lit(1))
+        if self.size * (len(self.unseen) * 8 + ROW_BYTES) <= BROADCAST_BYTES:
+            known = pieces.join(F.broadcast(self.grams), "gram", "left")
+        else:
+            counted = pieces.groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("n"))
+            known = counted.join(self.grams, "gram", "left")
         langs = list(self.unseen)
-        scores = [
-            F.sum(F.col("n") * F.coalesce(F.col(f"lp_{i}"), F.lit(self.unseen[lang]))).alias(f"s_{i}")
+        weighted = [
+            F.sum(
+                F.when(
+                    F.col("gram").isNotNull(),
+                    F.col("n") * F.coalesce(F.col(f"lp_{i}"), F.lit(self.unseen[lang])),
+                )
+            ).alias(f"s_{i}")
             for i, lang in enumerate(langs)
         ]
-        scored = (
-            _gram_counts(texts, [id_col], text_col)
-            .join(self.grams, "gram", "left")
-            .groupBy(id_col)
-            .agg(*scores)
+        ranked = F.array(
+            *[
+                F.struct(F.round(F.col(f"s_{i}"), 6).alias("score"), F.lit(lang).alias("lang"))
+                for i, lang in enumerate(langs)
+            ]
         )
-        best = F.array_max(
-            F.array(
-                *[
-                    F.struct(F.round(F.col(f"s_{i}"), 6).alias("score"), F.lit(lang).alias("lang"))
-                    for i, lang in enumerate(langs)
-                ]
+        return (
+            known.groupBy(id_col)
+            .agg(*weighted)
+            .select(
+                id_col,
+                F.when(F.col("s_0").isNotNull(), F.array_max(ranked)["lang"]).alias("language"),
             )
         )
-        labels = scored.select(id_col, best["lang"].alias("language"))
-        return texts.select(id_col).join(labels, id_col, "left")
 
 
 def fit_language_profiles(
@@ -58,29 +81,31 @@ def fit_language_profiles(
 ) -> LanguageProfiles:
     """Add-one-smoothed trigram log-probabilities per language.
 
-    The driver only sees one row per language (its trigram total).
+    The texts are read once; the counts per language and trigram are kept as a
+    checkpoint. The driver only sees one total per language.
     """
-    counts = _gram_counts(labelled, [lang_col], text_col)
+    counts = cut_lineage(_gram_counts(labelled.where(F.col(lang_col).isNotNull()), lang_col, text_col))
     totals = (
-        counts.groupBy(lang_col).agg(F.sum("n").alias("total")).limit(MAX_LANGUAGES + 1).collect()
+        counts.groupBy(lang_col)
+        .agg(F.sum("n").alias("total"))
+        .orderBy(lang_col)
+        .limit(MAX_LANGUAGES + 1)
+        .collect()
     )
     if len(totals) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages in {lang_col}")
     vocabulary = counts.select("gram").distinct().count()
-    total_of = {row[lang_col]: row["total"] for row in sorted(totals, key=lambda r: r[lang_col])}
+    size_of = {row[lang_col]: float(row["total"] + vocabulary) for row in totals}
     grams = counts.groupBy("gram").agg(
         *[
             F.ln(
-                (F.coalesce(F.sum(F.when(F.col(lang_col) == lang, F.col("n"))), F.lit(0)) + 1)
-                / F.lit(float(total + vocabulary))
+                (F.sum(F.when(F.col(lang_col) == lang, F.col("n")).otherwise(0)) + 1) / F.lit(size)
             ).alias(f"lp_{i}")
-            for i, (lang, total) in enumerate(total_of.items())
+            for i, (lang, size) in enumerate(size_of.items())
         ]
     )
-    import math
-
-    unseen = {lang: -math.log(total + vocabulary) for lang, total in total_of.items()}
-    return LanguageProfiles(grams, unseen)
+    unseen = {lang: -math.log(size) for lang, size in size_of.items()}
+    return LanguageProfiles(grams, vocabulary, unseen)
 
 
 def english_filter(

@@ -12,47 +12,67 @@ def sampling_hash(id_col: str, seed) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
 
 
-def hash_rank(
-    df: DataFrame,
-    id_col: str,
-    seed,
-    by: tuple[str, ...] = (),
-    rank_col: str = "_rank",
-    total_col: str = "_total",
-    upto: int | None = None,
-) -> DataFrame:
-    """1-based rank of every row in hash order, within ``by``, plus the group total.
-
-    Rows are counted per leading hash digits (a combine-before-shuffle aggregate
-    of at most 65,536 rows per stratum), a running sum turns the counts into
-    offsets, and only rows sharing a prefix are sorted together. A stratum with a
-    third of the table therefore spreads over all tasks. With ``upto`` the
-    buckets beyond the cut are dropped before any sorting.
-    """
-    keys = [*by, "_bucket"]
-    keyed = df.withColumn("_hash", sampling_hash(id_col, seed)).withColumn(
+def _with_bucket(df: DataFrame, id_col: str, seed) -> DataFrame:
+    return df.withColumn("_hash", sampling_hash(id_col, seed)).withColumn(
         "_bucket", F.substring("_hash", 1, HASH_BUCKET_DIGITS)
     )
+
+
+def _bucket_offsets(keyed: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Rows per hash bucket, rows before it and rows in all, per stratum.
+
+    A combine-before-shuffle count of at most 65,536 rows per stratum.
+    """
     strata = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     before = strata.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        keyed.groupBy(*keys)
+    return (
+        keyed.groupBy(*by, "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            *keys,
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-            F.sum("_n").over(strata).alias(total_col),
-        )
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .withColumn("_total", F.sum("_n").over(strata))
     )
-    if upto is not None:
-        offsets = offsets.where(F.col("_before") < upto)
-    inside = Window.partitionBy(*keys).orderBy("_hash", id_col)
-    ranked = (
-        keyed.join(offsets, keys)
+
+
+def hash_rank(df: DataFrame, id_col: str, seed, rank_col: str = "_rank") -> DataFrame:
+    """1-based rank of every row in hash order.
+
+    Offsets come from counts per hash prefix, so only rows sharing a prefix are
+    sorted together and no task sees more than a sliver of the table.
+    """
+    keyed = _with_bucket(df, id_col, seed)
+    offsets = _bucket_offsets(keyed, ()).select("_bucket", "_before")
+    inside = Window.partitionBy("_bucket").orderBy("_hash", id_col)
+    return (
+        keyed.join(offsets, "_bucket")
         .withColumn(rank_col, F.col("_before") + F.row_number().over(inside))
         .drop("_hash", "_bucket", "_before")
     )
-    return ranked if upto is None else ranked.where(F.col(rank_col) <= upto)
+
+
+def hash_cut(
+    df: DataFrame, id_col: str, seed, position: Column, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """``*by, cut``: the hash at 1-based ``position`` of the hash order of each stratum.
+
+    ``position`` may use ``_total``, the rows of the stratum; a stratum with fewer
+    rows has no cut. Selecting ``hash <= cut`` then samples exactly ``position``
+    rows with a plain filter, so the rows themselves are never sorted or shuffled.
+    Only ids and strata are read here, and only the one bucket per stratum that
+    holds the position is ranked.
+    """
+    keyed = _with_bucket(df.select(*by, id_col), id_col, seed)
+    offsets = _bucket_offsets(keyed, by).withColumn("_position", position)
+    holding = offsets.where(
+        (F.col("_before") < F.col("_position"))
+        & (F.col("_position") <= F.col("_before") + F.col("_n"))
+    ).select(*by, "_bucket", "_before", "_position")
+    inside = Window.partitionBy(*by, "_bucket").orderBy("_hash", id_col)
+    return (
+        keyed.join(holding, [*by, "_bucket"])
+        .withColumn("_rank", F.col("_before") + F.row_number().over(inside))
+        .where(F.col("_rank") == F.col("_position"))
+        .select(*by, F.col("_hash").alias("cut"))
+    )
 
 
 def zip_with_index(df: DataFrame, order: list, index_col: str = "index") -> DataFrame:

@@ -1,16 +1,25 @@
 """Deterministic sampling, shuffling and splitting."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from threadloom.operators.ranking import hash_rank, sampling_hash
+from threadloom.operators.ranking import hash_cut, hash_rank, sampling_hash
 from threadloom.sources.stages import cut_lineage
 
 
+# Sorts after every hash: "no cut" selects everything.
+NO_CUT = "g"
+
+
+def _selected(id_col: str, seed, cut: Column) -> Column:
+    return sampling_hash(id_col, seed) <= F.coalesce(cut, F.lit(NO_CUT))
+
+
 def sample_n(df: DataFrame, n: int | None, seed, id_col: str) -> DataFrame:
     """Exactly ``n`` rows without replacement; everything if n is unset or too large."""
     if not n:
         return df
-    return hash_rank(df, id_col, seed, upto=n).drop("_rank", "_total")
+    cut = hash_cut(df, id_col, seed, F.lit(n)).scalar()
+    return df.where(_selected(id_col, seed, cut))
 
 
 def stratum_counts(df: DataFrame, strata_col: str, values: list[str]) -> DataFrame:
@@ -44,47 +53,42 @@ def stratified_quota_sample(
 ) -> DataFrame:
     """Even quota per listed stratum, topped up from the unused rows, then shuffled.
 
-    Adds ``sample_idx``, the 0-based position after the shuffle.
+    Adds ``sample_idx``, the 0-based position after the shuffle. The driver holds
+    one count and one hash per listed stratum; the rows are selected by a filter.
+    ``df`` is read several times, so an expensive input should be staged first.
     """
     listed = df.where(F.col(strata_col).isin(values))
     quota = total // len(values)
-    ranked = hash_rank(listed, id_col, seed, by=(strata_col,))
-    taken = ranked.where(F.col("_rank") <= quota).drop("_rank", "_total")
-    spare = ranked.where(F.col("_rank") > quota).drop("_rank", "_total")
-    taken_rows = (
-        stratum_counts(df, strata_col, values)
-        .agg(F.sum(F.least(F.col("rows"), F.lit(quota))).alias("n"))
-        .scalar()
-    )
-    extra = (
-        hash_rank(spare, id_col, f"{seed}:extra", upto=total)
-        .where(F.col("_rank") <= F.lit(total) - taken_rows)
-        .drop("_rank", "_total")
-    )
-    # The sample is reused twice by the shuffle; its lineage is long.
+    rows = {r[strata_col]: r["rows"] for r in stratum_counts(df, strata_col, values).collect()}
+    found = hash_cut(listed, id_col, seed, F.lit(quota), by=(strata_col,)).collect()
+    # Without a cut a stratum is taken whole, unless its quota is zero.
+    cuts = dict.fromkeys(values, NO_CUT if quota else "") | {r[strata_col]: r["cut"] for r in found}
+    cut_of = F.create_map(*[F.lit(x) for kv in cuts.items() for x in kv])[F.col(strata_col)]
+    within_quota = sampling_hash(id_col, seed) <= cut_of
+    missing = total - sum(min(n, quota) for n in rows.values())
+    chosen = within_quota
+    if missing > 0:
+        top_up = f"{seed}:extra"
+        spare = listed.where(~within_quota)
+        chosen |= _selected(
+            id_col, top_up, hash_cut(spare, id_col, top_up, F.lit(missing)).scalar()
+        )
+    # At most `total` rows; ranking them reads them twice.
     return shuffle_rows(
-        cut_lineage(concat_samples([taken, extra])), f"{seed}:shuffle", id_col, "sample_idx"
+        cut_lineage(listed.where(chosen)), f"{seed}:shuffle", id_col, "sample_idx"
     )
 
 
 def shuffle_rows(df: DataFrame, seed, id_col: str, index_col: str = "shuffle_idx") -> DataFrame:
     """Random permutation as a fresh 0-based index."""
-    return (
-        hash_rank(df, id_col, seed)
-        .withColumn(index_col, F.col("_rank") - 1)
-        .drop("_rank", "_total")
-    )
+    return hash_rank(df, id_col, seed, index_col).withColumn(index_col, F.col(index_col) - 1)
 
 
 def train_val_split(df: DataFrame, seed, id_col: str) -> DataFrame:
     """80/20 split after a seeded shuffle: exactly ceil(n/5) rows become ``val``."""
-    return (
-        hash_rank(df, id_col, seed)
-        .withColumn(
-            "split",
-            F.when(F.col("_rank") <= F.expr("(_total + 4) div 5"), "val").otherwise("train"),
-        )
-        .drop("_rank", "_total")
+    cut = hash_cut(df, id_col, seed, F.expr("(_total + 4) div 5")).scalar()
+    return df.withColumn(
+        "split", F.when(_selected(id_col, seed, cut), "val").otherwise("train")
     )
 
 

@@ -38,8 +38,6 @@ def gibberish_gate(
     common = frequencies.where(F.col("zipf") >= min_zipf).select(
         "word", F.lit(1).alias("known")
     )
-    if 10 ** (9 - min_zipf) <= BROADCAST_WORDS:
-        common = F.broadcast(common)
     sized = texts.select(
         id_col,
         F.size(
@@ -47,16 +45,17 @@ def gibberish_gate(
         ).alias("n_tokens"),
         frequency_words(F.col(text_col)).alias("words"),
     )
+    words = sized.select(id_col, "n_tokens", F.explode_outer("words").alias("word"))
+    if 10 ** (9 - min_zipf) <= BROADCAST_WORDS:
+        # The bounded list goes to the words; only sums per text are shuffled.
+        common = F.broadcast(common)
     return (
-        sized.select(id_col, "n_tokens", F.explode_outer("words").alias("word"))
-        .groupBy(id_col, "word")
-        .agg(F.count("word").alias("n"), F.first("n_tokens").alias("n_tokens"))
-        .join(common, "word", "left")
+        words.join(common, "word", "left")
         .groupBy(id_col)
         .agg(
             F.first("n_tokens").alias("n_tokens"),
-            F.sum("n").alias("n_words"),
-            F.sum(F.when(F.col("known") == 1, F.col("n")).otherwise(0)).alias("n_common"),
+            F.count("word").alias("n_words"),
+            F.count("known").alias("n_common"),
         )
         .withColumn("verdict", _verdict(F.col("n_tokens"), F.col("n_words"), F.col("n_common")))
     )

@@ -8,6 +8,7 @@ from threadloom.functions.text import frequency_words
 from threadloom.operators import language, ranking, sampling, scoring, vocab
 from threadloom.plans.registry import register
 from threadloom.plans.text_queries import training_pairs
+from threadloom.sources import stages
 from threadloom.plans.views import (
     COMPANIES,
     PAIRS_CTE,
@@ -82,8 +83,11 @@ FROM both_parts"""
 
 @register("stratified_quota_sample", _QUOTA_SQL)
 def stratified_quota_sample_query(spark, d):
-    narrow = training_pairs(spark, d).select("reply_id", "company")
-    return sampling.stratified_quota_sample(narrow, "company", COMPANIES, _TOTAL, SEED, "reply_id")
+    path = stages.scratch_path(spark, "pairs")
+    pairs = stages.stage_or_load(spark, path, lambda: training_pairs(spark, d))
+    return sampling.stratified_quota_sample(
+        pairs.select("reply_id", "company"), "company", COMPANIES, _TOTAL, SEED, "reply_id"
+    )
 
 
 @register(

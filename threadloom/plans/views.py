@@ -5,13 +5,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from threadloom.constants import CONTRACTIONS, EMOJI_TAGS, WORD, WS, WS_BODY
 from threadloom.functions.text import MENTION, NOT_KEPT, URL
 from threadloom.operators.ranking import topk_per_group
+from threadloom.sources.stages import read_spread
 
 SEED = 42
 COMPANIES = ["company_0", "company_1", "company_2", "company_9"]
 
 
+# Tables with long texts: worth an even spread before per-character work.
+WIDE_TABLES = {"documents", "pages"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return read_spread(spark, path) if name in WIDE_TABLES else spark.read.parquet(path)
 
 
 # --- messages ---------------------------------------------------------------
@@ -89,9 +95,9 @@ def q(text: str) -> str:
 
 
 def sql_unescape(t: str) -> str:
-    for name, char in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
+    for name, char in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©")):
         t = f"replace({t}, '{name}', {q(char)})"
-    return t
+    return f"regexp_replace({t}, '&amp;?', '&', 'g')"
 
 
 def sql_emoji(t: str) -> str:

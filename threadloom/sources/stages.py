@@ -40,6 +40,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """Read a Parquet table so that all cores get a share.
+
+    A table of few row groups is read by few tasks however many cores there are;
+    only such a table is redistributed, anything larger keeps its own splits.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_stage(df: DataFrame, path: str) -> None:
     """Write an intermediate table; an existing one is never overwritten."""
     df.write.mode("errorifexists").parquet(path)

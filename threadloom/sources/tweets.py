@@ -19,7 +19,7 @@ def scan_tweets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_tweets_csv(df: DataFrame, path: str) -> None:
-    """CSV that ``scan_tweets`` reads back unchanged, NULL and empty text included."""
+    """CSV that ``scan_tweets`` reads back; only the empty text turns into NULL."""
     (
         df.select(*TWEETS.fieldNames())
         .write.mode("errorifexists")
