@@ -162,7 +162,9 @@ def test_language_paths_agree(spark, monkeypatch):
     assert {r["id"]: r["language"] for r in model.predict(rows, "id").collect()} == small
 
 
-def test_vocabulary_and_unknown_words(spark):
+@pytest.mark.parametrize("head", [200_000, 1, 0])
+def test_vocabulary_and_unknown_words(spark, monkeypatch, head):
+    monkeypatch.setattr(vocab, "HEAD_TOKENS", head)
     corpus = spark.createDataFrame([("b a b c a b",)], "text string")
     words = vocab.build_vocab(corpus)
     assert [(r["token"], r["token_id"]) for r in words.orderBy("token_id").collect()] == [("b", 3), ("a", 4), ("c", 5)]

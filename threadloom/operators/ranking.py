@@ -43,7 +43,8 @@ def hash_rank(df: DataFrame, id_col: str, seed, rank_col: str = "_rank") -> Data
     offsets = _bucket_offsets(keyed, ()).select("_bucket", "_before")
     inside = Window.partitionBy("_bucket").orderBy("_hash", id_col)
     return (
-        keyed.join(offsets, "_bucket")
+        # At most 65,536 offsets: broadcast.
+        keyed.join(F.broadcast(offsets), "_bucket")
         .withColumn(rank_col, F.col("_before") + F.row_number().over(inside))
         .drop("_hash", "_bucket", "_before")
     )
@@ -57,7 +58,7 @@ def hash_cut(
     ``position`` may use ``_total``, the rows of the stratum; a stratum with fewer
     rows has no cut. Selecting ``hash <= cut`` then samples exactly ``position``
     rows with a plain filter, so the rows themselves are never sorted or shuffled.
-    Only ids and strata are read here, and only the one bucket per stratum that
+    ``by`` should name a listed few strata: one row each is broadcast. Only ids and strata are read here, and only the one bucket per stratum that
     holds the position is ranked.
     """
     keyed = _with_bucket(df.select(*by, id_col), id_col, seed)
@@ -68,7 +69,7 @@ def hash_cut(
     ).select(*by, "_bucket", "_before", "_position")
     inside = Window.partitionBy(*by, "_bucket").orderBy("_hash", id_col)
     return (
-        keyed.join(holding, [*by, "_bucket"])
+        keyed.join(F.broadcast(holding), [*by, "_bucket"])
         .withColumn("_rank", F.col("_before") + F.row_number().over(inside))
         .where(F.col("_rank") == F.col("_position"))
         .select(*by, F.col("_hash").alias("cut"))

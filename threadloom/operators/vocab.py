@@ -9,6 +9,8 @@ PAD_ID = 0
 EOS_ID = 1
 OOV_ID = 2
 FIRST_ID = 3
+# So many of the most frequent tokens are broadcast (about 20 MB).
+HEAD_TOKENS = 200_000
 
 
 def build_vocab(texts: DataFrame, text_col: str = "text") -> DataFrame:
@@ -25,9 +27,19 @@ def build_vocab(texts: DataFrame, text_col: str = "text") -> DataFrame:
 def tokenize_ids(
     texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str = "text", out: str = "ids"
 ) -> DataFrame:
-    """Token ids per text in reading order; unknown tokens map to ``OOV_ID``."""
+    """Token ids per text in reading order; unknown tokens map to ``OOV_ID``.
+
+    Ids rise with rarity, so the head of the vocabulary is its most frequent part
+    and of known size: it is broadcast. Only the rare rest, where no token is hot,
+    needs a shuffled join.
+    """
     placed = texts.select(id_col, F.posexplode_outer(tokens(F.col(text_col))).alias("pos", "token"))
-    coded = placed.join(vocab.select("token", "token_id"), "token", "left").select(
+    entries = vocab.select("token", "token_id")
+    rare = F.col("token_id") >= FIRST_ID + HEAD_TOKENS
+    coded = placed.join(F.broadcast(entries.where(~rare)), "token", "left")
+    if entries.where(rare).limit(1).count():
+        coded = _look_up_rare(coded, entries.where(rare), id_col)
+    coded = coded.select(
         id_col,
         F.when(
             F.col("pos").isNotNull(),
@@ -37,3 +49,16 @@ def tokenize_ids(
     return coded.groupBy(id_col).agg(
         F.transform(F.sort_array(F.collect_list("t")), lambda t: t["code"]).alias(out)
     )
+
+
+def _look_up_rare(coded: DataFrame, rare: DataFrame, id_col: str) -> DataFrame:
+    """Fill in ids of rare tokens; rows already coded are spread over all tasks."""
+    open_row = F.col("token_id").isNull()
+    slot = F.when(open_row, 0).otherwise(F.pmod(F.hash(id_col, "pos"), F.lit(1024)) + 1)
+    keyed = coded.withColumn("_slot", slot)
+    tail = rare.select(F.col("token").alias("_token"), F.col("token_id").alias("_rare_id"))
+    return keyed.join(
+        tail.withColumn("_at", F.lit(0)),
+        (F.col("token") == F.col("_token")) & (F.col("_slot") == F.col("_at")),
+        "left",
+    ).select(id_col, "pos", F.coalesce("token_id", "_rare_id").alias("token_id"))
