@@ -62,7 +62,8 @@ def expand_contractions(text: Column, table: dict[str, str] = CONTRACTIONS) -> C
     and replacements back together.
     """
     pattern = "|".join(re.escape(k) for k in table)
-    lookup = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    entries = "\n".join(f"{k}\t{v}" for k, v in table.items())
+    lookup = F.str_to_map(F.lit(entries), F.lit("\n"), F.lit("\t"))  # folded to a constant
     gaps = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     joined = F.array_join(
@@ -93,18 +94,20 @@ def strip_ws(text: Column) -> Column:
     return F.btrim(text, F.lit(WS_CHARS))
 
 
+def mask_noise(text: Column, tags: dict[str, str] = EMOJI_TAGS) -> Column:
+    """First half of the cleaning chain; a missing text becomes the empty string."""
+    decoded = html_unescape(F.coalesce(text, F.lit("")))
+    return mask_mentions(strip_urls(emoji_to_tag(decoded, tags)))
+
+
+def normalize_masked(masked: Column) -> Column:
+    """Second half of the cleaning chain."""
+    return squeeze_ws(strip_special(expand_contractions(masked)))
+
+
 def clean_text(text: Column, tags: dict[str, str] = EMOJI_TAGS) -> Column:
-    """The cleaning chain; a missing text becomes the empty string."""
-    steps = (
-        html_unescape,
-        lambda t: emoji_to_tag(t, tags),
-        strip_urls,
-        mask_mentions,
-        expand_contractions,
-        strip_special,
-        squeeze_ws,
-    )
-    return reduce(lambda t, step: step(t), steps, F.coalesce(text, F.lit("")))
+    """The whole cleaning chain as one expression."""
+    return normalize_masked(mask_noise(text, tags))
 
 
 def strip_user_prefix(text: Column) -> Column:

@@ -22,42 +22,61 @@ def history_window(
     """Last ``lines`` dialogue lines up to each customer turn.
 
     A conversation is cut into blocks of ``block`` turn numbers that are windowed
-    independently; the last lines of the preceding blocks are carried into each
-    block. One conversation holding a third of all turns thus spreads over many
-    tasks, and only its block tails (at most ``lines - 1`` lines per block) meet.
+    independently, so one conversation holding a third of all turns spreads over
+    many tasks. Conversations of more than one block carry the last lines of the
+    preceding blocks into each block; the others never take that second path.
     """
-    talk = turns.where(F.col("role").isin("user", "assistant")).select(
+    talk = turns.where(F.col("role").isin("user", "assistant"))
+    lined = talk.select(
         conv_col,
         turn_col,
         F.floor(F.col(turn_col) / block).alias("_block"),
-        F.col("role"),
-        F.col("text"),
+        "role",
+        "text",
         dialogue_line(F.col("role"), F.col("text")).alias("_line"),
     )
+    before = lines - 1
     in_block = Window.partitionBy(conv_col, "_block").orderBy(turn_col)
-    local = talk.withColumn(
-        "_recent", F.collect_list("_line").over(in_block.rowsBetween(-(lines - 1), 0))
-    )
-    tails = local.groupBy(conv_col, "_block").agg(
-        F.max_by("_recent", turn_col).alias("_tail")
-    )
-    earlier = (
-        Window.partitionBy(conv_col).orderBy("_block").rowsBetween(-(lines - 1), -1)
-    )
-    carried = tails.select(
-        conv_col, "_block", F.flatten(F.collect_list("_tail").over(earlier)).alias("_carry")
-    )
-    both = F.concat(F.col("_carry"), F.col("_recent"))
-    recent = F.slice(
-        both, F.greatest(F.size(both) - (lines - 1), F.lit(1)), F.lit(lines)
+    local = lined.withColumn(
+        "_recent", F.collect_list("_line").over(in_block.rowsBetween(-before, 0))
     )
+    recent = F.concat(F.coalesce("_carry", F.array().cast("array<string>")), F.col("_recent"))
     return (
         local.where(F.col("role") == "user")
-        .join(carried, [conv_col, "_block"])
+        .join(_carried(lined, talk, before, block, conv_col, turn_col), [conv_col, "_block"], "left")
+        .withColumn("_both", recent)
         .select(
             conv_col,
             turn_col,
             F.col("text").alias("message"),
-            F.array_join(recent, "\n").alias("history"),
+            F.array_join(
+                F.slice("_both", F.greatest(F.size("_both") - before, F.lit(1)), F.lit(lines)), "\n"
+            ).alias("history"),
         )
     )
+
+
+def _carried(
+    lined: DataFrame, talk: DataFrame, before: int, block: int, conv_col: str, turn_col: str
+) -> DataFrame:
+    """``conv, _block, _carry``: the lines that precede each block of a long conversation.
+
+    A conversation of several blocks has a turn outside block 0, a filter the scan
+    can answer from its statistics. Of each block only the last lines are kept,
+    cut on the map side before they are shuffled.
+    """
+    outside = (F.col(turn_col) < 0) | (F.col(turn_col) >= block)
+    long_ones = talk.where(outside).select(conv_col).distinct()
+    latest = Window.partitionBy(conv_col, "_block").orderBy(F.desc(turn_col))
+    tails = (
+        lined.join(long_ones, conv_col, "left_semi")
+        .withColumn("_age", F.row_number().over(latest))
+        .where(F.col("_age") <= before)
+        .groupBy(conv_col, "_block")
+        .agg(F.sort_array(F.collect_list(F.struct(turn_col, "_line"))).alias("_tail"))
+    )
+    earlier = Window.partitionBy(conv_col).orderBy("_block").rowsBetween(-before, -1)
+    gathered = F.flatten(F.collect_list("_tail").over(earlier))
+    return tails.select(
+        conv_col, "_block", F.transform(gathered, lambda t: t["_line"]).alias("_carry")
+    )

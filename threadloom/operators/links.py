@@ -41,12 +41,13 @@ def crawl_frontier(
 
     One equi-join and one anti-join per level; each level is checkpointed so the
     plan stays flat and a lost executor costs no recomputation of older levels.
+    The edges are read once per level, so derived ones should be staged first.
     ``max_pages`` keeps the nearest pages, in (depth, node) order.
     """
     frontier = cut_lineage(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
     visited = frontier
     hops = edges.select(F.col("src"), F.col("dst"))
-    reached = frontier.count()
+    reached = 0 if max_pages is None else frontier.count()
     for depth in range(1, max_depth + 1):
         if max_pages is not None and reached >= max_pages:
             break
@@ -58,10 +59,9 @@ def crawl_frontier(
         frontier = cut_lineage(
             found.join(visited, "node", "left_anti").withColumn("depth", F.lit(depth))
         )
-        fresh = frontier.count()
-        if fresh == 0:
+        if frontier.isEmpty():
             break
-        reached += fresh
+        reached += 0 if max_pages is None else frontier.count()
         visited = visited.unionByName(frontier)
     if max_pages is None:
         return visited

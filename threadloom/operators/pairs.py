@@ -2,12 +2,20 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from threadloom.functions.text import clean_text, strip_user_prefix
+from threadloom.functions.text import mask_noise, normalize_masked, strip_user_prefix
 from threadloom.functions.context import plain_prompt
 
 
 def clean_tweets(df: DataFrame, text_col: str = "text", out: str = "cleaned_text") -> DataFrame:
-    return df.withColumn(out, clean_text(F.col(text_col)))
+    """Add the cleaned text, computed once per row.
+
+    A filter on a projected column is pushed below the projection and repeats its
+    expression there. The one-element explode keeps such a filter above the
+    cleaning, while filters on other columns still reach the scan.
+    """
+    masked = df.withColumn("_masked", mask_noise(F.col(text_col)))
+    cleaned = F.explode(F.array(normalize_masked(F.col("_masked"))))
+    return masked.select(*df.columns, cleaned.alias(out))
 
 
 def min_length_filter(df: DataFrame, min_len: int = 0, col: str = "cleaned_text") -> DataFrame:

@@ -59,7 +59,7 @@ def stratified_quota_sample(
     """
     listed = df.where(F.col(strata_col).isin(values))
     quota = total // len(values)
-    rows = {r[strata_col]: r["rows"] for r in stratum_counts(df, strata_col, values).collect()}
+    rows = {r[strata_col]: r["count"] for r in listed.groupBy(strata_col).count().collect()}
     found = hash_cut(listed, id_col, seed, F.lit(quota), by=(strata_col,)).collect()
     # Without a cut a stratum is taken whole, unless its quota is zero.
     cuts = dict.fromkeys(values, NO_CUT if quota else "") | {r[strata_col]: r["cut"] for r in found}

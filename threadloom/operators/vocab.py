@@ -52,13 +52,15 @@ def tokenize_ids(
 
 
 def _look_up_rare(coded: DataFrame, rare: DataFrame, id_col: str) -> DataFrame:
-    """Fill in ids of rare tokens; rows already coded are spread over all tasks."""
-    open_row = F.col("token_id").isNull()
-    slot = F.when(open_row, 0).otherwise(F.pmod(F.hash(id_col, "pos"), F.lit(1024)) + 1)
-    keyed = coded.withColumn("_slot", slot)
-    tail = rare.select(F.col("token").alias("_token"), F.col("token_id").alias("_rare_id"))
-    return keyed.join(
-        tail.withColumn("_at", F.lit(0)),
-        (F.col("token") == F.col("_token")) & (F.col("_slot") == F.col("_at")),
-        "left",
-    ).select(id_col, "pos", F.coalesce("token_id", "_rare_id").alias("token_id"))
+    """Fill in ids of rare tokens; coded rows get scattered keys that match nothing."""
+    key = F.when(F.col("token_id").isNull(), F.concat(F.lit("t"), "token")).otherwise(
+        F.concat(F.lit("d"), F.xxhash64(id_col, "pos").cast("string"))
+    )
+    tail = rare.select(
+        F.concat(F.lit("t"), "token").alias("_key"), F.col("token_id").alias("_rare_id")
+    )
+    return (
+        coded.withColumn("_key", key)
+        .join(tail, "_key", "left")
+        .select(id_col, "pos", F.coalesce("token_id", "_rare_id").alias("token_id"))
+    )

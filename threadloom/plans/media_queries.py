@@ -137,4 +137,4 @@ def crawl_frontier_query(spark, d):
         links.extract_links(pages).select(F.col("page_url").alias("src"), F.col("href").alias("dst"))
     )
     seeds = pages.agg(F.min_by("url", "page_id").alias("node"))
-    return links.crawl_frontier(edges, seeds, max_depth=6)
+    return links.crawl_frontier(stages.cut_lineage(edges), seeds, max_depth=6)
