@@ -54,6 +54,16 @@ def test_scan_augment_and_sink_images(spark, tmp_path):
     assert names == {"a.b.PNG", *(f"a.b_{v}.PNG" for v in im.VARIANTS)}
 
 
+def test_exported_png_reads_back(spark, tmp_path):
+    rgb = np.arange(5 * 7 * 3, dtype=np.uint8).reshape(5, 7, 3)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.png").write_bytes(png(rgb))
+    images = image_io.scan_images(spark, str(tmp_path / "in"))
+    image_io.export_png(images.withColumn("out_name", F.lit("b.png")), str(tmp_path / "out"))
+    again = image_io.scan_images(spark, str(tmp_path / "out")).first()
+    assert again["data"] == images.first()["data"] and again["origin"].endswith("out/b.png")
+
+
 def test_rotation_keeps_or_turns_pixels():
     pixels = np.arange(12, dtype=np.uint8).reshape(3, 4, 1)
     assert (im._rotate(pixels, 0.0) == pixels).all()

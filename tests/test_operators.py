@@ -121,7 +121,9 @@ def test_perplexity_cap(spark):
     assert math.isclose(got["a"], math.exp(2.0)) and got["b"] == math.inf
 
 
-def test_sentiment_negation(spark):
+@pytest.mark.parametrize("limit", [1_000_000, 1])
+def test_sentiment_negation(spark, monkeypatch, limit):
+    monkeypatch.setattr(scoring, "LEXICON_ROWS", limit)
     lexicon = spark.createDataFrame([("good", 0.8), ("bad", -0.6)], "word string, polarity double")
     rows = spark.createDataFrame(
         [(1, "good and bad"), (2, "not good"), (3, "no words here"), (4, ""), (5, None), (6, "Good GOOD bad")],

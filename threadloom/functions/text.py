@@ -55,13 +55,22 @@ def mask_mentions(text: Column) -> Column:
     return F.regexp_replace(text, MENTION, "[USER]")
 
 
+def _alternation(table: dict[str, str]) -> str:
+    """Keys in matching order; positions without an apostrophe near by fail at once."""
+    keys = "|".join(re.escape(k) for k in table)
+    heads = [k.split("'", 1)[0] for k in table if "'" in k]
+    if len(heads) < len(table) or not all(h.isalpha() or not h for h in heads):
+        return keys
+    return rf"(?=\p{{L}}{{0,{max(map(len, heads))}}}')(?:{keys})"
+
+
 def expand_contractions(text: Column, table: dict[str, str] = CONTRACTIONS) -> Column:
     """Single-pass dictionary replace: the first key that matches wins.
 
     Cut the text at the hits, look each hit up in a constant map, and zip gaps
     and replacements back together.
     """
-    pattern = "|".join(re.escape(k) for k in table)
+    pattern = _alternation(table)
     entries = "\n".join(f"{k}\t{v}" for k, v in table.items())
     lookup = F.str_to_map(F.lit(entries), F.lit("\n"), F.lit("\t"))  # folded to a constant
     gaps = F.split(text, pattern, -1)

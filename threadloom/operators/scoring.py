@@ -6,6 +6,7 @@ from threadloom.functions.text import frequency_words, tokens
 
 # A word list with at most this many entries (about 200 MB hashed) is broadcast.
 BROADCAST_WORDS = 4_000_000
+LEXICON_ROWS = 1_000_000
 NEGATORS = ("not", "no", "never", "cannot")
 
 
@@ -77,8 +78,13 @@ def sentiment(
     text_col: str = "text",
     negators: tuple[str, ...] = NEGATORS,
 ) -> DataFrame:
-    """Mean lexicon polarity per text in [-1, 1]; a negator before a word turns it by -0.5."""
-    words = texts.select(id_col, tokens(F.col(text_col)).alias("ws")).select(
+    """Mean lexicon polarity per text in [-1, 1]; a negator before a word turns it by -0.5.
+
+    A lexicon of checked size is broadcast to the words, so only sums per text are
+    shuffled. A larger one is joined to word counts per text.
+    """
+    located = texts.select(id_col, tokens(F.col(text_col)).alias("ws"))
+    words = located.select(
         id_col,
         F.explode_outer(
             F.transform(
@@ -91,13 +97,12 @@ def sentiment(
                 ),
             )
         ).alias("t"),
-    )
-    hits = (
-        words.select(id_col, "t.word", F.coalesce("t.negated", F.lit(False)).alias("negated"))
-        .groupBy(id_col, "word", "negated")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(lexicon, "word", "left")
-    )
+    ).select(id_col, "t.word", "t.negated", F.lit(1).alias("n"))
+    if lexicon.limit(LEXICON_ROWS + 1).count() <= LEXICON_ROWS:
+        hits = words.join(F.broadcast(lexicon), "word", "left")
+    else:
+        counted = words.groupBy(id_col, "word", "negated").agg(F.count(F.lit(1)).alias("n"))
+        hits = counted.join(lexicon, "word", "left")
     weight = F.when(F.col("negated"), F.lit(-0.5)).otherwise(F.lit(1.0)) * F.col("polarity")
     return hits.groupBy(id_col).agg(
         F.coalesce(

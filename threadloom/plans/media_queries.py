@@ -89,6 +89,22 @@ def sink_images_query(spark, d):
     return spark.read.parquet(path).select("out_name")
 
 
+@register(
+    "scan_images",
+    f"""WITH {RASTERS_SQL} SELECT replace(origin, 'img/', '') AS name, 8 AS height, 8 AS width,
+        {_HEX.format(px="px")} AS pixels FROM rasters""",
+)
+def scan_images_query(spark, d):
+    path = stages.scratch_path(spark, "images")
+    named = rasters(spark, d).withColumn(
+        "out_name", image_io.variant_name(F.col("origin"), F.lit("original"))
+    )
+    image_io.export_png(named, path)
+    return image_io.scan_images(spark, path).select(
+        F.element_at(F.split("origin", "/"), -1).alias("name"), "height", "width", pixel_text(F.col("data")).alias("pixels")
+    )
+
+
 # --- links ---------------------------------------------------------------------------
 _LINKS_SQL = f"""found AS (
   SELECT page_id, url, array_to_string(string_split(url, '/')[1:3], '/') AS root,

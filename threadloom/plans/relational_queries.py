@@ -227,7 +227,8 @@ def sentiment_query(spark, d):
     items = table(spark, d, "conversations").select(
         (F.col("conv_id") * 100 + F.col("turn")).alias("item"), "text"
     )
-    scored = scoring.sentiment(items, lexicon(spark, d), "item", negators=("in", "der", "la", "not"))
+    words = stages.cut_lineage(lexicon(spark, d))
+    scored = scoring.sentiment(items, words, "item", negators=("in", "der", "la", "not"))
     return scored.withColumn("sentiment", F.round("sentiment", 6))
 
 
