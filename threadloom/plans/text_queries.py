@@ -85,9 +85,13 @@ def preview_query(spark, d):
     UNION ALL SELECT 'pairs', count(*) FROM pairs""",
 )
 def stage_counts_query(spark, d):
-    raw = noisy(spark, d)
-    kept = pr.min_length_filter(pr.clean_tweets(raw), 10)
-    return stages.stage_counts({"raw": raw, "kept": kept, "pairs": pr.pair_replies(kept)})
+    """Two stages are counted while the second is written, in one pass."""
+    path = stages.scratch_path(spark, "kept")
+    raw, raw_seen = stages.observe_stage(noisy(spark, d), "raw")
+    kept, kept_seen = stages.observe_stage(pr.min_length_filter(pr.clean_tweets(raw), 10), "kept")
+    stages.write_stage(kept, path)
+    pairs = pr.pair_replies(spark.read.parquet(path))
+    return stages.stage_counts(spark, {"raw": raw_seen, "kept": kept_seen, "pairs": pairs})
 
 
 # --- text cleaning ---------------------------------------------------------------

@@ -70,16 +70,23 @@ def observe_stage(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """Rows per named stage as one ``stage, rows`` table."""
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
-        for name, df in stages.items()
-    ]
-    out = counted[0]
-    for extra in counted[1:]:
-        out = out.unionByName(extra)
-    return out
+def stage_counts(spark: SparkSession, stages: dict[str, DataFrame | Observation]) -> DataFrame:
+    """Rows per named stage as one ``stage, rows`` table.
+
+    A stage that was observed while it was written costs nothing here; a table is counted.
+    """
+
+    def one(name: str, stage: DataFrame | Observation) -> DataFrame:
+        if isinstance(stage, Observation):
+            counted = spark.range(1).select(F.lit(stage.get["rows"]).cast("long").alias("rows"))
+        else:
+            counted = stage.agg(F.count(F.lit(1)).alias("rows"))
+        return counted.select(F.lit(name).alias("stage"), "rows")
+
+    first, *rest = (one(name, stage) for name, stage in stages.items())
+    for extra in rest:
+        first = first.unionByName(extra)
+    return first
 
 
 def preview(df: DataFrame, order_by, rows: int = 5) -> DataFrame:
