@@ -63,7 +63,7 @@ def test_urls(texts):
     assert texts(tx.strip_urls, cases) == wanted
 
 
-def reference_clean(text):
+def plain_clean(text):
     """The cleaning rules written down once more, with Python's re and html."""
     if text is None:
         return ""
@@ -83,7 +83,7 @@ def test_clean_text(texts):
         "éà «bien» [x] 1:2 won't!",
         "&lt;b&gt; @É   www.x",
     ]
-    assert texts(tx.clean_text, cases) == [reference_clean(c) for c in cases]
+    assert texts(tx.clean_text, cases) == [plain_clean(c) for c in cases]
     assert texts(tx.clean_text, cases)[2] == "USER I cannot he would've HEART see"
 
 
