@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -66,5 +68,19 @@ def text_bytes(texts: pa.Array, tail: str = "") -> tuple[np.ndarray, np.ndarray]
     return raw[starts[0] : starts[-1]], starts - starts[0]
 
 
+def small_slices(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[pa.Array]:
+    """Consecutive slices of a batch of about ``max_bytes`` of text each; no text is cut.
+
+    Keeps numpy work on a batch small however long the texts are. An empty batch gives itself.
+    """
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes, dtype=np.int64) // max_bytes
+    starts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+    for a, b in zip(starts[:-1], starts[1:], strict=True):
+        yield texts.slice(a, b - a)
+
+
 def plain_texts(texts: pa.Array) -> list[str]:
     return ["" if t is None else t for t in texts.to_pylist()]

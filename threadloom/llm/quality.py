@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from threadloom.llm.common import held_out, plain_texts, text_bytes, training_sample
+from threadloom.llm.common import held_out, plain_texts, small_slices, text_bytes, training_sample
 
 MAX_TRAIN = 20_000
 THRESHOLD = 0.3
@@ -45,6 +45,10 @@ FEATURES = (
 
 def document_statistics(texts: pa.Array) -> np.ndarray:
     """One row of ``FEATURES`` per text. Null and empty texts give zeros."""
+    return np.concatenate([_statistics(part) for part in small_slices(texts)])
+
+
+def _statistics(texts: pa.Array) -> np.ndarray:
     raw, starts = text_bytes(texts)
     sizes = np.diff(starts).astype(float)
     out = np.zeros((len(sizes), len(FEATURES)))
