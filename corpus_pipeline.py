@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import quality
+from threadloom.llm import quality, toxicity
 from threadloom.llm.common import read_table
 from threadloom.sources.stages import scratch_path
 
@@ -18,8 +18,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_quality(docs, read_table(spark, sf_dir, "labels"))
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject."""
+    return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
+
+
 STAGES = [
     ("quality", quality_stage),
+    ("toxicity", toxicity_stage),
 ]
 
 # SQL cannot express the fitted models of these stages; tests hold the pipeline
