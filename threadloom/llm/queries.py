@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import quality, toxicity
+from threadloom.llm import packing, quality, token_files, toxicity
 from threadloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,20 @@ def op9_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+PACK_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+FILE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_register
+def op2_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), PACK_TOKENIZER)
+
+
 @_register
 def op3_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@_register
+def op8_bit_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digest(read_table(spark, sf_dir, "documents"), FILE_TOKENIZER)
