@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import quality, toxicity
+from threadloom.llm import quality, simhash, toxicity
 from threadloom.llm.common import read_table
 from threadloom.sources.stages import scratch_path
 
@@ -23,9 +23,15 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, on shingles of five words."""
+    return simhash.drop_near_duplicates(docs, shingle_words=5)
+
+
 STAGES = [
     ("quality", quality_stage),
     ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicate_stage),
 ]
 
 # SQL cannot express the fitted models of these stages; tests hold the pipeline

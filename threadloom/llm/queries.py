@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import packing, quality, token_files, toxicity
+from threadloom.llm import packing, quality, simhash, token_files, toxicity
 from threadloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op3_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@_register
+def op6_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @_register
 def op8_bit_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(read_table(spark, sf_dir, "documents"), FILE_TOKENIZER)
