@@ -6,9 +6,10 @@ next stage's documents, so a lost executor costs one stage at most.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import quality, simhash, toxicity
+from threadloom.llm import mixing, packing, quality, simhash, toxicity
 from threadloom.llm.common import read_table
 from threadloom.sources.stages import scratch_path
 
@@ -28,10 +29,23 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.drop_near_duplicates(docs, shingle_words=5)
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture of languages wants them."""
+    labelled = mixing.labelled_languages(docs, read_table(spark, sf_dir, "labels"))
+    return mixing.mix_documents(docs, labelled, mixing.LANGUAGE_TARGETS)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the training sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("quality", quality_stage),
     ("toxicity", toxicity_stage),
     ("near_duplicates", near_duplicate_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
 # SQL cannot express the fitted models of these stages; tests hold the pipeline

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import packing, quality, simhash, token_files, toxicity
+from threadloom.llm import mixing, packing, quality, simhash, token_files, toxicity
 from threadloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,10 @@ def op6_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op8_bit_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(read_table(spark, sf_dir, "documents"), FILE_TOKENIZER)
+
+
+@_register
+def op10_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    labelled = mixing.labelled_languages(docs, read_table(spark, sf_dir, "labels"))
+    return mixing.mixing_rates(docs, labelled, mixing.LANGUAGE_TARGETS)
