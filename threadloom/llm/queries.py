@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import mixing, packing, quality, simhash, token_files, toxicity
+from threadloom.llm import licenses, mixing, packing, quality, simhash, token_files, toxicity
 from threadloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,14 @@ def op6_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op7_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_license_diagonals"] = licenses.oracle_sql()
+
+
 @_register
 def op8_bit_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(read_table(spark, sf_dir, "documents"), FILE_TOKENIZER)
