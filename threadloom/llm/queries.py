@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import licenses, mixing, packing, quality, simhash, token_files, toxicity
+from threadloom.llm import licenses, mixing, packing, quality, simhash, token_files, toxicity, warc
 from threadloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,23 @@ def op3_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@_register
+def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
+ORACLES["op4_warc_round_trip"] = f"""
+WITH rows_ AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digests AS (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM rows_),
+owned AS (SELECT *, CASE WHEN payload_bytes >= {warc.MIN_SHARED_BYTES}
+                         THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS own FROM digests)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN own = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN own <> page_id THEN own END AS refers_to
+FROM owned
+"""
+
+
 @_register
 def op6_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
