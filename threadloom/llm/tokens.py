@@ -14,7 +14,7 @@ import types
 
 import numpy as np
 
-_CACHE = 1_000_000
+_CACHE = 2_000_000
 _END_MARKS = ".,"
 # A blank or line break belongs to the visible characters after it.
 _CHUNKS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
