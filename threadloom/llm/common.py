@@ -16,6 +16,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORD_BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # after lower-casing: ASCII but letters and digits
+
+
+def ascii_words(text: str | Column) -> Column:
+    """Words of letters, digits and all other than ASCII characters, A-Z lower-cased; none for null."""
+    lowered = F.translate(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), UPPER, LOWER)
+    return F.filter(F.split(lowered, WORD_BREAKS), lambda w: w != "")
+
+
+def ascii_words_sql(text: str) -> str:
+    """``ascii_words`` in DuckDB SQL."""
+    lowered = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
+    return f"list_filter(regexp_split_to_array({lowered}, '{WORD_BREAKS}'), lambda w: w <> '')"
+
+
 def crc_bucket(id_col: str, buckets: int) -> Column:
     """crc32 of the id's text modulo ``buckets``; null for a null id."""
     return F.crc32(F.col(id_col).cast("string")) % buckets

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from threadloom.llm.common import ascii_words, ascii_words_sql
+
 # Phrases whose places are counted word for word, and their labels.
 BASE_PHRASES = (
     ("cc-by", "cc by"),
@@ -37,14 +39,6 @@ TEMPLATES = (
 COVERAGE = 0.8
 MIN_VOTES = 3  # of a diagonal; a template of fewer pairs needs all of them
 SLACK = 2  # words by which neighbouring diagonals may differ
-BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def _words(text: str | Column) -> Column:
-    text = F.col(text) if isinstance(text, str) else text
-    lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    return F.filter(F.split(lowered, BREAKS), lambda w: w != "")
 
 
 def _pair(a: Column, b: Column) -> Column:
@@ -71,7 +65,7 @@ def template_pairs(spark: SparkSession) -> DataFrame:
             for i, (label, text, exact) in enumerate(rows)
         ]
     )
-    templates = spark.range(1).select(F.inline(listed)).withColumn("_words", _words("text"))
+    templates = spark.range(1).select(F.inline(listed)).withColumn("_words", ascii_words("text"))
     templates = templates.withColumn("_pairs", _pairs(F.col("_words")))
     real = templates.select(
         "template", "label", "exact", F.size("_pairs").alias("pairs"), F.posexplode("_pairs").alias("at", "pair")
@@ -96,7 +90,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     and repeated rows are scanned like any other; an empty table gives no rows.
     """
     templates = F.broadcast(template_pairs(docs.sparkSession))  # a few hundred rows, fixed
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), _words("text").alias("_words"))
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), ascii_words("text").alias("_words"))
     every = F.concat(_pairs(F.col("_words")), F.array(_pair(F.lit(""), F.lit(""))))
     pairs = rows.select(
         "doc_id", "_row", F.size("_words").cast("long").alias("n_words"), F.posexplode(every).alias("_at", "_pair")
@@ -147,9 +141,7 @@ def oracle_sql() -> str:
     """The scan in DuckDB SQL, joining the words themselves instead of hashes."""
     rows = [(label, text, True) for label, text in BASE_PHRASES] + [(label, text, False) for label, text in TEMPLATES]
     values = ", ".join(f"({i}, {_sql_text(label)}, {_sql_text(text)}, {exact})" for i, (label, text, exact) in enumerate(rows))
-    words = (
-        f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{BREAKS}'), lambda w: w <> '')"
-    )
+    words = ascii_words_sql("text")
     return f"""
 WITH templates(template, label, text, exact) AS (VALUES {values}),
 template_words AS (SELECT template, label, exact, {words} AS w FROM templates),

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadloom.llm import licenses, mixing, packing, quality, simhash, token_files, toxicity, warc
+from threadloom.llm import licenses, mixing, neighbours, packing, quality, simhash, token_files, topk, toxicity, warc
 from threadloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,13 @@ def op9_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@_register
+def op1_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search_top_k(read_table(spark, sf_dir, "documents"), F.col("doc_id") % 100 == 0)
+
+
+ORACLES["op1_block_max_wand"] = topk.oracle_sql()
+
 PACK_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 FILE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -55,6 +62,11 @@ FROM owned
 """
 
 
+@_register
+def op5_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @_register
 def op6_simhash_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
