@@ -25,8 +25,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, on shingles of five words."""
-    return simhash.drop_near_duplicates(docs, shingle_words=5)
+    """One document of each group of near copies: five-word shingles, a similarity of 0.8."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,28 +28,39 @@ MAX_DISTANCE = 2
 _CELL_BITS = 4  # a segment of 8 bits has 0 to 8 of them set
 
 
-def _fingerprint(text: bytes, shingle_words: int) -> int:
-    """SimHash of the text's word shingles, repeats included; zero without words."""
+def _shingle_hashes(text: bytes, shingle_words: int) -> np.ndarray:
+    """XXH64 of the text's word shingles, repeats included; of all words if they are too few, none without words."""
     import xxhash
 
     words = text.lower().split()  # of bytes: A-Z and the six ASCII blanks only
-    if not words:
-        return 0
     n = len(words) - shingle_words + 1
     if n <= 1:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
+        return np.asarray([xxhash.xxh64_intdigest(b" ".join(words), SEED)] if words else [], np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     digest = xxhash.xxh64_intdigest
     spans = zip(starts[:n].tolist(), ends[shingle_words - 1 :].tolist(), strict=True)
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in spans), np.uint64, n)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in spans), np.uint64, n)
+
+
+def _fingerprint(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have set; zero without hashes."""
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.zeros(BITS, np.int64)
     for part in np.array_split(hashes, -(-n // 65_536)):
         ones += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
+def _byte_texts(texts: pa.Array) -> Iterator[bytes]:
+    raw, starts = text_bytes(texts)
+    data, bounds = raw.tobytes(), starts.tolist()
+    return (data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+
+
 def fingerprint_column(text: str | Column, shingle_words: int = SHINGLE_WORDS) -> Column:
     """The 64-bit SimHash as a signed long; null and empty texts give zero."""
 
@@ -58,10 +69,7 @@ def fingerprint_column(text: str | Column, shingle_words: int = SHINGLE_WORDS) -
         for batch in batches:
             out = []
             for texts in small_slices(batch):
-                raw, starts = text_bytes(texts)
-                data = raw.tobytes()
-                bounds = starts.tolist()
-                out += [_fingerprint(data[a:b], shingle_words) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                out += [_fingerprint(_shingle_hashes(t, shingle_words)) for t in _byte_texts(texts)]
             yield pa.array(np.asarray(out, np.uint64).view(np.int64))
 
     return fingerprint(text)
@@ -107,12 +115,12 @@ def near_pairs(fingerprints: DataFrame, max_distance: int = MAX_DISTANCE) -> Dat
 
 
 def _classes(marked: DataFrame, max_distance: int) -> DataFrame:
-    """``fp, root, component_id`` for every different fingerprint of ``marked(doc_id, fp, ..)``."""
+    """``fp, component_id`` for every different fingerprint of ``marked(doc_id, fp)``."""
     distinct = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(near_pairs(distinct, max_distance)).withColumnRenamed("node", "fp")
     placed = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    return placed.join(smallest, "root").select("fp", "root", "component_id")
+    return placed.join(smallest, "root").select("fp", "component_id")
 
 
 def near_duplicates(
@@ -132,22 +140,106 @@ def near_duplicates(
     )
 
 
+# --- similar texts beyond the radius of the grid ------------------------------
+# Texts that share 0.8 of their shingles have fingerprints 4 to 14 bits apart. Within such a radius
+# bit counts exclude next to nothing, so the candidates of the similarity stage also come from bands of
+# minima over the same shingle hashes.
+SIMILARITY = 0.8
+STAGE_SHINGLE_WORDS = 5
+MINIMA = 256
+BANDS, BAND_MINIMA = 20, 5
+# A share of 256 minima has a standard deviation of 0.025 at 0.8; so much below still counts.
+TOLERANCE = 0.02
+
+
+def _minima(hashes: np.ndarray) -> bytes | None:
+    """Sixteen bits each of the minima of ``MINIMA`` random orders of the different hashes."""
+    if not len(hashes):
+        return None
+    rng = np.random.default_rng(SEED)
+    factor = rng.integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    shift = rng.integers(0, 2**63, MINIMA, dtype=np.uint64)
+    least = np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
+    for part in np.array_split(hashes, -(-len(hashes) // 1_024)):
+        np.minimum(least, (part[:, None] * factor + shift).min(axis=0), out=least)
+    return (least >> np.uint64(20)).astype("<u2").tobytes()
+
+
+def _fingerprints_and_minima(shingle_words: int):
+    @F.arrow_udf("struct<fp: long, minima: binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            fps, minima = [], []
+            for texts in small_slices(batch):
+                for text in _byte_texts(texts):
+                    hashes = _shingle_hashes(text, shingle_words)
+                    fps.append(_fingerprint(hashes))
+                    minima.append(_minima(hashes))
+            columns = [pa.array(np.asarray(fps, np.uint64).view(np.int64)), pa.array(minima, pa.binary())]
+            yield pa.StructArray.from_arrays(columns, ["fp", "minima"])
+
+    return both
+
+
+@F.arrow_udf("double")
+def _shared_minima(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for left, right in pairs:
+        a, b = (np.frombuffer(b"".join(x.to_pylist()), "<u2").reshape(-1, MINIMA) for x in (left, right))
+        yield pa.array((a == b).mean(axis=1), pa.float64())
+
+
+def _similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: nodes and the smallest node of a band they share, verified on all minima.
+
+    A band's texts are linked to one of them instead of to each other, so links grow with the
+    texts, not with the pairs of a group.
+    """
+    keys = F.array(
+        *[F.xxhash64(F.lit(i), F.substring("minima", 1 + 2 * BAND_MINIMA * i, 2 * BAND_MINIMA)) for i in range(BANDS)]
+    )
+    banded = nodes.where("minima is not null").select("node", F.explode(keys).alias("key"))
+    shared = banded.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    links = banded.join(shared, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    sketch = nodes.select("node", "minima")
+    whole = links.join(sketch.withColumnsRenamed({"node": "a", "minima": "_ma"}), "a").join(
+        sketch.withColumnsRenamed({"node": "b", "minima": "_mb"}), "b"
+    )
+    return whole.where(_shared_minima("_ma", "_mb") >= similarity - TOLERANCE).select("a", "b")
+
+
 def drop_near_duplicates(
-    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE
+    docs: DataFrame,
+    shingle_words: int = STAGE_SHINGLE_WORDS,
+    max_distance: int = MAX_DISTANCE,
+    similarity: float = SIMILARITY,
 ) -> DataFrame:
     """One row of each group of linked documents, with all its columns.
 
-    The row with the smallest ``doc_id`` stays (a null id only if there is no other; of equal ids
-    the smaller text hash). Texts are read twice and shuffled once, after the choice.
+    Documents link if their fingerprints are at most ``max_distance`` bits apart, or if they share
+    ``similarity`` of their different shingles, as estimated on ``MINIMA`` minima. The row with the smallest
+    ``doc_id`` stays (a null id only if there is no other; of equal ids the smaller text hash). Null and
+    empty texts are one group. Texts are read twice and shuffled once, after the choice.
     """
     key = [F.col("doc_id"), F.xxhash64("text")]
     marked = cut_lineage(
-        docs.select(key[0], key[1].alias("_text"), fingerprint_column("text", shingle_words).alias("fp"))
+        docs.select(key[0], key[1].alias("_text"), _fingerprints_and_minima(shingle_words)("text").alias("_s"))
+        .select("doc_id", "_text", "_s.fp", "_s.minima")
+        .withColumn("node", F.xxhash64("fp", "minima"))
+    )
+    nodes = cut_lineage(marked.groupBy("node").agg(F.first("fp").alias("fp"), F.first("minima").alias("minima")))
+    heads = nodes.groupBy("fp").agg(F.min("node").alias("head"))
+    equal = nodes.join(heads, "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    near = (
+        near_pairs(heads, max_distance)
+        .join(heads.select(F.col("fp").alias("a"), F.col("head").alias("_a")), "a")
+        .join(heads.select(F.col("fp").alias("b"), F.col("head").alias("_b")), "b")
+        .select(F.col("_a").alias("a"), F.col("_b").alias("b"))
     )
+    roots = components(equal.union(near).union(_similar_links(nodes, similarity)))
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_text"))
     keepers = (
-        marked.join(_classes(marked, max_distance), "fp")
-        .groupBy("root")
+        marked.join(roots, "node", "left")
+        .groupBy(F.coalesce("root", "node").alias("root"))
         .agg(best.alias("_keep"))
         .select(F.col("_keep.doc_id").alias("_keep_id"), F.col("_keep._text").alias("_keep_text"))
     )
