@@ -181,11 +181,14 @@ def _fingerprints_and_minima(shingle_words: int):
     return both
 
 
-@F.arrow_udf("double")
-def _shared_minima(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for left, right in pairs:
-        a, b = (np.frombuffer(b"".join(x.to_pylist()), "<u2").reshape(-1, MINIMA) for x in (left, right))
-        yield pa.array((a == b).mean(axis=1), pa.float64())
+def _shared_minima(left: str, right: str) -> Column:
+    @F.arrow_udf("double")
+    def shared(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for columns in pairs:
+            a, b = (np.frombuffer(b"".join(x.to_pylist()), "<u2").reshape(-1, MINIMA) for x in columns)
+            yield pa.array((a == b).mean(axis=1), pa.float64())
+
+    return shared(left, right)
 
 
 def _similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
