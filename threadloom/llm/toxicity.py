@@ -41,7 +41,7 @@ SEPARATORS = ".-_~·'’/"
 INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 
 # Costs in nats of the channel: how readily a writer disguises or keeps a character.
-KEEP_SYMBOL = 6.0
+KEEP_SYMBOL = 8.0
 READ_SYMBOL = 0.5
 MASKED = 2.5
 DROP_SEPARATOR = 1.0
@@ -49,7 +49,7 @@ KEEP_SEPARATOR = 1.0
 DOUBLE_OF_RUN = 1.0
 
 _EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~" + "«»„“”‘’…–—·¿¡§°€£¢"
-_LEFT_READINGS = frozenset("@$!|€£¢+(")
+_LEFT_READINGS = frozenset("@$!|€£¢")
 _RIGHT_READINGS = frozenset("@$€£¢")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _RUNS = re.compile(r"(.)\1*", re.DOTALL)
@@ -167,7 +167,7 @@ class Decoder:
         while path is not None:
             path, reading = path
             parts.append(reading)
-        return "".join(reversed(parts))
+        return "".join(reversed(parts[1:]))  # without the closing border
 
     def token(self, token: str) -> tuple[str, ...]:
         """The words one lower-case token stands for; short tokens are remembered."""
