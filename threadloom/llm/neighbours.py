@@ -278,8 +278,11 @@ def nearest_neighbours(table: DataFrame, is_query: Column, k: int = NEAREST, see
     schema = "query_id long, rank int, vec_id long, score double"
     if not total:
         return spark.createDataFrame([], schema)
-    cut = int(-(2**63) + min(1.0, MAX_FIT / total) * (2**64 - 1))
-    sample = good.where(F.xxhash64("vec_id", F.lit(seed)) <= F.lit(cut).cast("long")).toPandas().sort_values("vec_id")
+    some = good
+    if total > MAX_FIT:
+        cut = int(-(2**63) + (MAX_FIT / total) * 2**64)
+        some = good.where(F.xxhash64("vec_id", F.lit(seed)) < F.lit(cut).cast("long"))
+    sample = some.toPandas().sort_values("vec_id", kind="stable")
     if not len(sample):
         sample = good.limit(1).toPandas()
     hashing = fit_hashing(np.stack(sample["vec"].to_numpy())[: 2 * MAX_FIT], seed)
