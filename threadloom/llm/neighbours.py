@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from threadloom.sources.stages import cut_lineage
+
 PROJECTIONS = 12
 TABLES = 4
 RELATIVE_WIDTH = 2.5  # cell width in standard deviations of a projection
@@ -218,9 +220,8 @@ class _Part:
         if self.buckets is None:
             self.all_ids, self.all_vectors = np.concatenate(self.ids), np.concatenate(self.vectors)
             self.buckets, self.bucket_of = np.unique(np.concatenate(self.codes), return_inverse=True)
-        at = np.searchsorted(self.buckets, codes)
-        at = np.minimum(at, len(self.buckets) - 1)
-        visited = np.zeros(len(self.buckets), bool)
+        at = np.minimum(np.searchsorted(self.buckets, codes), len(self.buckets) - 1)
+        visited = np.full(len(self.buckets), not len(codes))  # no codes: every bucket
         visited[at[self.buckets[at] == codes]] = True
         rows = np.flatnonzero(visited[self.bucket_of] & (self.all_ids != query))
         apart = self.all_vectors[rows] - vector
@@ -299,18 +300,35 @@ def nearest_neighbours(table: DataFrame, is_query: Column, k: int = NEAREST, see
         .select("tab", "part", F.ceil(F.col("count") / PART_ROWS).cast("int").alias("splits"))
     )
     splits = F.coalesce("splits", F.lit(1))
-    dealt_index = index.join(crowded, ["tab", "part"], "left").withColumn("salt", F.pmod(F.hash("id"), splits))
-    dealt_probes = probes.join(crowded, ["tab", "part"], "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), splits - 1))
-    )
     columns = ["tab", "part", "salt", "kind", "id", "codes", "vec"]
-    dealt = (
-        dealt_index.select(*columns)
-        .unionByName(dealt_probes.select(*columns))
-        .repartition("tab", "part", "salt")
-        .sortWithinPartitions("tab", "part", "salt", "kind", "id")
+
+    def search(vectors: DataFrame, visits: DataFrame) -> DataFrame:
+        dealt_index = vectors.join(crowded, ["tab", "part"], "left").withColumn("salt", F.pmod(F.hash("id"), splits))
+        dealt_visits = visits.join(crowded, ["tab", "part"], "left").withColumn(
+            "salt", F.explode(F.sequence(F.lit(0), splits - 1))
+        )
+        dealt = (
+            dealt_index.select(*columns)
+            .unionByName(dealt_visits.select(*columns))
+            .repartition("tab", "part", "salt")
+            .sortWithinPartitions("tab", "part", "salt", "kind", "id")
+        )
+        return dealt.mapInArrow(_search(k), "query_id long, vec_id long, score double")
+
+    found = cut_lineage(search(index, probes))
+    # A lone query may meet fewer than k rows in its buckets; it visits all buckets of one table.
+    met = found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("met"))
+    lone = good.where(is_query).join(met, F.col("vec_id") == F.col("query_id"), "left").where(F.coalesce("met", F.lit(0)) < k)
+    everywhere = lone.select(
+        F.lit(0).alias("tab"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"),
+        F.lit(1).alias("kind"),
+        F.col("vec_id").alias("id"),
+        F.array().cast("array<long>").alias("codes"),
+        "vec",
     )
-    found = dealt.mapInArrow(_search(k), "query_id long, vec_id long, score double")
+    if not lone.isEmpty():
+        found = found.unionByName(search(index.where("tab = 0"), everywhere))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
         found.groupBy("query_id", "vec_id")
