@@ -8,8 +8,8 @@ HASH_BUCKET_DIGITS = 4
 
 
 def sampling_hash(id_col: str, seed) -> Column:
-    """Portable pseudo-random key of a row."""
-    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+    """Portable pseudo-random key of a row; rows without an id share the key of an empty one."""
+    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")))
 
 
 def _with_bucket(df: DataFrame, id_col: str, seed) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from threadloom.constants import WS
 from threadloom.functions.text import frequency_words, tokens
 
 # A word list with at most this many entries (about 200 MB hashed) is broadcast.
@@ -42,7 +43,7 @@ def gibberish_gate(
     sized = texts.select(
         id_col,
         F.size(
-            F.filter(F.split(F.trim(F.col(text_col)), " +"), lambda t: F.length(t) > 0)
+            F.filter(F.split(F.col(text_col), WS + "+"), lambda t: F.length(t) > 0)
         ).alias("n_tokens"),
         frequency_words(F.col(text_col)).alias("words"),
     )
@@ -98,7 +99,7 @@ def sentiment(
             )
         ).alias("t"),
     ).select(id_col, "t.word", "t.negated", F.lit(1).alias("n"))
-    if lexicon.limit(LEXICON_ROWS + 1).count() <= LEXICON_ROWS:
+    if lexicon.count() <= LEXICON_ROWS:
         hits = words.join(F.broadcast(lexicon), "word", "left")
     else:
         counted = words.groupBy(id_col, "word", "negated").agg(F.count(F.lit(1)).alias("n"))

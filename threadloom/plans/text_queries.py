@@ -110,9 +110,10 @@ def _noisy_sql(expr: str) -> str:
 
 register("emoji_to_tag", _noisy_sql(sql_emoji("text")))(_noisy_text(tx.emoji_to_tag))
 register("strip_urls", _noisy_sql(sql_re("text", tx.URL, "")))(_noisy_text(tx.strip_urls))
-register("expand_contractions", _noisy_sql(sql_contractions("text")).replace(
-    "FROM noisy", "FROM noisy WHERE text IS NOT NULL"
-))(lambda spark, d: _noisy_text(tx.expand_contractions)(spark, d).where(F.col("out").isNotNull()))
+register(
+    "expand_contractions",
+    _noisy_sql(f"CASE WHEN text IS NOT NULL THEN {sql_contractions('text')} END"),
+)(_noisy_text(tx.expand_contractions))
 register("squeeze_ws", _noisy_sql(sql_squeeze("text")))(_noisy_text(tx.squeeze_ws))
 
 
@@ -195,8 +196,12 @@ def apply_edits_query(spark, d):
         F.explode(F.array(edit(0, 1, "<"), edit(6, 1, None), edit(3, 1, "yy"), edit(8, 3, ""))).alias("e"),
     )
     grouped = edits.groupBy("conv_id", "turn").agg(F.collect_list("e").alias("edits"))
-    return turns.join(grouped, ["conv_id", "turn"]).select(
-        "conv_id", "turn", tx.apply_edits(F.col("text"), F.col("edits")).alias("out")
+    return turns.join(grouped, ["conv_id", "turn"], "left").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("edits").isNull(), F.col("text"))
+        .otherwise(tx.apply_edits(F.col("text"), F.col("edits")))
+        .alias("out"),
     )
 
 

@@ -5,19 +5,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from threadloom.constants import CONTRACTIONS, EMOJI_TAGS, WORD, WS, WS_BODY
 from threadloom.functions.text import MENTION, NOT_KEPT, URL
 from threadloom.operators.ranking import topk_per_group
-from threadloom.sources.stages import read_spread
 
 SEED = 42
 COMPANIES = ["company_0", "company_1", "company_2", "company_9"]
 
 
-# Tables with long texts: worth an even spread before per-character work.
-WIDE_TABLES = {"documents", "pages"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return read_spread(spark, path) if name in WIDE_TABLES else spark.read.parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --- messages ---------------------------------------------------------------
@@ -174,29 +168,42 @@ def tokens_sql(t: str) -> str:
 
 # --- knowledge base, messages with vectors, contexts --------------------------
 def kb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that have a vector, one chunk each."""
+    """All documents, one chunk each.
+
+    The vector table is shorter than the documents, so document ``i`` takes vector ``i`` modulo their
+    number, read backwards in every second round. A document that finds none stays, without a vector.
+    """
     docs = table(spark, sf_dir, "documents")
-    vectors = table(spark, sf_dir, "embeddings")
-    return docs.join(vectors, docs["doc_id"] == vectors["vec_id"]).select(
-        F.col("doc_id").alias("chunk_id"),
-        "source",
-        F.col("doc_id").cast("int").alias("chunk_idx"),
-        "text",
-        "embedding",
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    count = F.greatest(vectors.agg(F.count(F.lit(1)).alias("n")).scalar(), F.lit(1))
+    turned = F.expr("doc_id div _n") % 2 == 1
+    return (
+        docs.withColumn("_n", count)
+        .withColumn("_vec", F.col("doc_id") % F.col("_n"))
+        .join(vectors, F.col("_vec") == F.col("vec_id"), "left")
+        .select(
+            F.col("doc_id").alias("chunk_id"),
+            "source",
+            F.col("doc_id").cast("int").alias("chunk_idx"),
+            "text",
+            F.when(turned, F.reverse("embedding")).otherwise(F.col("embedding")).alias("embedding"),
+        )
     )
 
 
 KB_SQL = """
 kb AS (
-  SELECT doc_id AS chunk_id, source, CAST(doc_id AS INTEGER) AS chunk_idx, text, embedding
-  FROM documents JOIN embeddings ON doc_id = vec_id
+  SELECT doc_id AS chunk_id, source, CAST(doc_id AS INTEGER) AS chunk_idx, text,
+         CASE WHEN (doc_id // n) % 2 = 1 THEN list_reverse(embedding) ELSE embedding END AS embedding
+  FROM documents CROSS JOIN (SELECT greatest(count(*), 1) AS n FROM embeddings)
+  LEFT JOIN embeddings ON doc_id % n = vec_id
 )"""
 
 
 def vectors_of(ids: DataFrame, spark: SparkSession, sf_dir: str, conv: Column, straight: Column):
     """Attach the conversation's vector, read backwards where ``straight`` is false."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return ids.join(vectors, conv == F.col("vec_id")).withColumn(
+    return ids.join(vectors, conv == F.col("vec_id"), "left").withColumn(
         "embedding",
         F.when(straight, F.col("embedding")).otherwise(F.reverse(F.col("embedding"))),
     )
@@ -218,30 +225,40 @@ MESSAGES_SQL = """
 messages AS (
   SELECT conv_id * 100 + turn AS query_id, conv_id, turn, text AS message,
          CASE WHEN turn < 2 THEN embedding ELSE list_reverse(embedding) END AS embedding
-  FROM conversations JOIN embeddings ON conv_id = vec_id WHERE role = 'user'
+  FROM conversations LEFT JOIN embeddings ON conv_id = vec_id WHERE role = 'user'
 )"""
 
 
 def contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per conversation the first three support turns as ranked contexts."""
-    support = table(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
-    return (
+    """Per conversation the first three support turns as ranked contexts, none without any."""
+    turns = table(spark, sf_dir, "conversations")
+    support = turns.where(F.col("role") == "assistant")
+    ranked = (
         topk_per_group(support, ["conv_id"], [F.col("turn")], 3)
         .groupBy("conv_id")
         .agg(
             F.transform(
                 F.sort_array(F.collect_list(F.struct("turn", "text"))), lambda r: r["text"]
-            ).alias("contexts")
+            ).alias("_found")
         )
     )
+    none = F.array().cast("array<string>")
+    return (
+        turns.select("conv_id")
+        .distinct()
+        .join(ranked, "conv_id", "left")
+        .select("conv_id", F.coalesce("_found", none).alias("contexts"))
+    )
 
 
 CONTEXTS_SQL = """
 contexts AS (
-  SELECT conv_id, list(text ORDER BY turn) AS contexts
-  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn
-        FROM conversations WHERE role = 'assistant')
-  WHERE rn <= 3 GROUP BY conv_id
+  SELECT conv_id, coalesce(found, CAST([] AS VARCHAR[])) AS contexts
+  FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN (
+    SELECT conv_id, list(text ORDER BY turn) AS found
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn
+          FROM conversations WHERE role = 'assistant')
+    WHERE rn <= 3 GROUP BY conv_id) USING (conv_id)
 )"""
 
 

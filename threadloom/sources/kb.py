@@ -19,8 +19,8 @@ def kb_count(kb: DataFrame) -> DataFrame:
     return kb.agg(F.count("embedding").alias("vectors"))
 
 
-def kb_dump(kb: DataFrame, query_vector: list[float], k: int | None = 10000) -> DataFrame:
-    """Ranked text blocks for one query vector; ``k=None`` ranks the whole table."""
+def kb_dump(kb: DataFrame, query_vector: list[float], k: int | None = None) -> DataFrame:
+    """Ranked text blocks for one query vector; by default the whole table."""
     query = F.array(*[F.lit(float(v)) for v in query_vector])
     scored = kb.where(F.col("embedding").isNotNull()).withColumn(
         "score", F.round(cosine_similarity(F.col("embedding"), query), 12)

@@ -1,5 +1,7 @@
 """Stage tables, scratch locations and lineage cuts."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,16 +11,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a session without the
-    setting (a local test run) gets a folder of its own.
+    A cluster names it in ``spark.checkpoint.dir``. Only a local session without the
+    setting (a test run) gets a folder of its own, which is removed when Python exits; on
+    several machines a folder of one of them would be of no use.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
-        prefix="threadloom-"
-    )
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="threadloom-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     context.setCheckpointDir(root)
     return context.getCheckpointDir()
 
@@ -40,17 +46,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """Read a Parquet table so that all cores get a share.
-
-    A table of few row groups is read by few tasks however many cores there are;
-    only such a table is redistributed, anything larger keeps its own splits.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_stage(df: DataFrame, path: str) -> None:
     """Write an intermediate table; an existing one is never overwritten."""
     df.write.mode("errorifexists").parquet(path)
