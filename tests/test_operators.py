@@ -225,3 +225,58 @@ def test_observed_counts(spark):
     rows, seen = stages.observe_stage(spark.range(10).where("id > 3"), "kept")
     assert rows.where("id < 8").count() == 4
     assert seen.get == {"rows": 6}
+
+
+def test_sample_keeps_null_ids_and_is_exact_on_ties(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d"), (3, "e"), (3, "f")], "id int, v string")
+    for n in range(1, 8):
+        got = [r["v"] for r in sampling.sample_n(rows, n, 42, "id").collect()]
+        assert len(got) == len(set(got)) == min(n, 6)
+    assert sorted(r["i"] for r in sampling.shuffle_rows(rows, 42, "id", "i").collect()) == list(range(6))
+
+
+def test_transparency_is_left_alone(spark):
+    from threadloom.operators.images import augment_images
+    from threadloom.schemas import IMAGE
+
+    pixels = bytes([10, 200, 90, 255, 40, 50, 60, 128] * 2)
+    rows = spark.createDataFrame([("a.png", 2, 2, 4, 24, bytearray(pixels))], IMAGE)
+    got = {r["aug"]: bytes(r["data"]) for r in augment_images(rows, 1).collect()}
+    for name in ("bright", "contrast", "original"):
+        assert got[name][3::4] == pixels[3::4]
+    assert got["bright"] != pixels
+
+
+def test_links_in_any_quotes(spark):
+    from threadloom.operators.links import extract_links
+
+    html = """<a href='/a'>x</a><A class=c HREF=/b>y</A><a href="/c">z</a><a href = "/d"><a data-href="/no"><area href="/no">
+    <a title="t"href='http://h/e?x="1"'><a href=""><abbr href="/no">"""
+    pages = spark.createDataFrame([(1, "http://h/p", html), (2, "http://h/q", None)], "page_id long, url string, html string")
+    assert [r["href"] for r in extract_links(pages).orderBy("link_idx").collect()] == [
+        "http://h/a", "http://h/b", "http://h/c", "http://h/d", 'http://h/e?x="1"',
+    ]
+
+
+def test_tokens_are_split_on_all_white_space(spark):
+    words = spark.createDataFrame([("order", 6.0), ("arrive", 6.0), ("will", 6.0)], "word string, zipf double")
+    rows = spark.createDataFrame([(1, "the\norder\nwill\narrive"), (2, "order arrive\tnow")], "id int, text string")
+    got = {r["id"]: (r["n_tokens"], r["verdict"]) for r in scoring.gibberish_gate(rows, words, "id").collect()}
+    assert got == {1: (4, "ok"), 2: (3, "ok")}
+
+
+def test_any_number_of_languages(spark):
+    train = spark.createDataFrame([(f"l{i:04d}", f"x{i:04d}y") for i in range(700)], "lang string, text string")
+    rows = spark.createDataFrame([(i, f"x{i:04d}y") for i in range(0, 700, 70)], "id int, text string")
+    got = language.fit_language_profiles(train).predict(rows, "id").collect()
+    assert all(r["language"] == f"l{r['id']:04d}" for r in got)
+
+
+def test_similarity_probe_moves_no_rows(spark):
+    from threadloom.operators import retrieval
+
+    vectors = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(50)], "vec_id int, embedding array<double>")
+    asked = vectors.select("vec_id", "embedding").withColumnRenamed("embedding", "vec")
+    assert retrieval._collect_if_small(asked, 49) is None
+    assert len(retrieval._collect_if_small(asked, 50).ids) == 50
+    assert retrieval._collect_if_small(asked.limit(0), 50) is None

@@ -59,6 +59,18 @@ def _to_byte(values: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(values + 0.5), 0, 255).astype(np.uint8)
 
 
+def _recolour(pixels: np.ndarray, change) -> np.ndarray:
+    """Change the colour channels; a fourth one is transparency and stays."""
+    out = pixels.copy()
+    colours = slice(0, 3) if pixels.shape[2] == 4 else slice(None)
+    out[..., colours] = change(pixels[..., colours])
+    return out
+
+
+def _bright(pixels: np.ndarray, factor: float) -> np.ndarray:
+    return _to_byte(pixels.astype(float) * factor)
+
+
 def _contrast(pixels: np.ndarray, factor: float) -> np.ndarray:
     bgr = pixels[..., :3] if pixels.shape[2] >= 3 else np.repeat(pixels[..., :1], 3, axis=2)
     luminance = bgr.astype(float) @ np.array([0.114, 0.587, 0.299])
@@ -94,9 +106,9 @@ def _variant(row) -> np.ndarray:
     pixels = np.frombuffer(row.data, dtype=np.uint8).reshape(row.height, row.width, row.nChannels)
     match row.aug:
         case "bright":
-            return _to_byte(pixels.astype(float) * row.factor)
+            return _recolour(pixels, lambda p: _bright(p, row.factor))
         case "contrast":
-            return _contrast(pixels, row.factor)
+            return _recolour(pixels, lambda p: _contrast(p, row.factor))
         case "flipped":
             return pixels[:, ::-1]
         case "rotated":

@@ -1,17 +1,20 @@
 """Language labels from character-trigram profiles."""
 
-import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from threadloom.sources.stages import cut_lineage
 
-MAX_LANGUAGES = 500
-# Profiles estimated to stay below this are broadcast.
+# Profiles estimated to stay below this are held by every task.
 BROADCAST_BYTES = 128 << 20
 ROW_BYTES = 80
 GRAM = r"(?s)(?=(.{3}))."
+# Scores are compared after rounding, so that the order of sums does not decide.
+SCORE_DIGITS = 6
 
 
 def trigrams(text: Column) -> Column:
@@ -27,85 +30,107 @@ def _gram_counts(texts: DataFrame, key: str, text_col: str) -> DataFrame:
     )
 
 
+def _codes(text: str) -> np.ndarray:
+    """One integer per trigram: three code points of 21 bits."""
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+    return (points[:-2] << 42) | (points[1:-1] << 21) | points[2:]
+
+
 @dataclass
 class LanguageProfiles:
-    """One row per trigram with its log-probability in each language."""
+    """``gram, lang, gain``: how much likelier than an unseen one a trigram is in a language that has it,
+    and ``lang, unseen``: the log-probability of an unseen trigram."""
 
-    grams: DataFrame
-    size: int
-    unseen: dict[str, float]
+    gains: DataFrame
+    unseen: DataFrame
 
     def predict(self, texts: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
         """``id, language``; a text without trigrams gets NULL.
 
-        A profile of checked size is broadcast to the exploded trigrams, which are
-        summed up before anything is shuffled. A larger one is joined to trigram
-        counts per text.
+        A profile of checked size is held by every task, which counts the trigrams of a text
+        on the spot. A larger one is joined to trigram counts per text.
         """
-        pieces = texts.select(
-            id_col, F.explode_outer(trigrams(F.col(text_col))).alias("gram")
-        ).withColumn("n", F.lit(1))
-        if self.size * (len(self.unseen) * 8 + ROW_BYTES) <= BROADCAST_BYTES:
-            known = pieces.join(F.broadcast(self.grams), "gram", "left")
-        else:
-            counted = pieces.groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("n"))
-            known = counted.join(self.grams, "gram", "left")
-        langs = list(self.unseen)
-        weighted = [
-            F.sum(
-                F.when(
-                    F.col("gram").isNotNull(),
-                    F.col("n") * F.coalesce(F.col(f"lp_{i}"), F.lit(self.unseen[lang])),
-                )
-            ).alias(f"s_{i}")
-            for i, lang in enumerate(langs)
-        ]
-        ranked = F.array(
-            *[
-                F.struct(F.round(F.col(f"s_{i}"), 6).alias("score"), F.lit(lang).alias("lang"))
-                for i, lang in enumerate(langs)
-            ]
+        if self.gains.count() * ROW_BYTES <= BROADCAST_BYTES:
+            return self._predict_in_place(texts, id_col, text_col)
+        return self._predict_by_join(texts, id_col, text_col)
+
+    def _predict_in_place(self, texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        rows = self.gains.toPandas()
+        unseen = self.unseen.orderBy("lang").toPandas()
+        langs = unseen["lang"].tolist()
+        codes, gram_of = np.unique(
+            np.asarray([_codes(g)[0] for g in rows["gram"]], np.int64), return_inverse=True
         )
-        return (
-            known.groupBy(id_col)
-            .agg(*weighted)
-            .select(
-                id_col,
-                F.when(F.col("s_0").isNotNull(), F.array_max(ranked)["lang"]).alias("language"),
-            )
+        gains = np.zeros((len(codes), len(langs)))
+        gains[gram_of, rows["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(int)] = rows["gain"]
+        shared = texts.sparkSession.sparkContext.broadcast(
+            (codes, gains, unseen["unseen"].to_numpy(float), langs)
         )
 
+        @F.arrow_udf(T.StringType())
+        def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            known, gains, unseen, langs = shared.value
+            for batch in batches:
+                out = []
+                for text in batch.to_pylist():
+                    codes = _codes(text) if text and langs else ()
+                    if not len(codes):
+                        out.append(None)
+                        continue
+                    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+                    at, times = np.unique(at[known[at] == codes], return_counts=True)
+                    score = np.round(times @ gains[at] + len(codes) * unseen, SCORE_DIGITS)
+                    # Of equal scores the language that sorts last, as in the join.
+                    out.append(langs[len(langs) - 1 - int(np.argmax(score[::-1]))])
+                yield pa.array(out, pa.string())
+
+        return texts.select(id_col, label(F.lower(F.col(text_col))).alias("language"))
+
+    def _predict_by_join(self, texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        """Languages that have a trigram of the text are scored, besides the one with the likeliest
+        unseen trigram, which no other language without a hit can surpass."""
+        pieces = texts.select(id_col, F.explode(trigrams(F.col(text_col))).alias("gram"))
+        counted = pieces.groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("n"))
+        totals = counted.groupBy(id_col).agg(F.sum("n").alias("total"))
+        hits = (
+            counted.join(self.gains, "gram")
+            .groupBy(id_col, "lang")
+            .agg(F.sum(F.col("n") * F.col("gain")).alias("gain"))
+        )
+        likeliest = self.unseen.agg(F.max(F.struct("unseen", "lang"))["lang"].alias("lang"))
+        others = totals.select(
+            id_col, likeliest.scalar().alias("lang"), F.lit(0.0).alias("gain")
+        )
+        score = F.round(F.col("gain") + F.col("total") * F.col("unseen"), SCORE_DIGITS)
+        best = (
+            hits.unionByName(others)
+            .groupBy(id_col, "lang")
+            .agg(F.sum("gain").alias("gain"))
+            .join(self.unseen, "lang")
+            .join(totals, id_col)
+            .groupBy(id_col)
+            .agg(F.max(F.struct(score.alias("score"), "lang"))["lang"].alias("language"))
+        )
+        return texts.select(id_col).join(best, id_col, "left")
+
 
 def fit_language_profiles(
     labelled: DataFrame, text_col: str = "text", lang_col: str = "lang"
 ) -> LanguageProfiles:
-    """Add-one-smoothed trigram log-probabilities per language.
+    """Add-one-smoothed trigram log-probabilities per language, for any number of languages.
 
-    The texts are read once; the counts per language and trigram are kept as a
-    checkpoint. The driver only sees one total per language.
+    The texts are read once; the counts per language and trigram are kept as a checkpoint, and
+    totals stay tables.
     """
-    counts = cut_lineage(_gram_counts(labelled.where(F.col(lang_col).isNotNull()), lang_col, text_col))
-    totals = (
-        counts.groupBy(lang_col)
-        .agg(F.sum("n").alias("total"))
-        .orderBy(lang_col)
-        .limit(MAX_LANGUAGES + 1)
-        .collect()
-    )
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in {lang_col}")
-    vocabulary = counts.select("gram").distinct().count()
-    size_of = {row[lang_col]: float(row["total"] + vocabulary) for row in totals}
-    grams = counts.groupBy("gram").agg(
-        *[
-            F.ln(
-                (F.sum(F.when(F.col(lang_col) == lang, F.col("n")).otherwise(0)) + 1) / F.lit(size)
-            ).alias(f"lp_{i}")
-            for i, (lang, size) in enumerate(size_of.items())
-        ]
+    counts = cut_lineage(
+        _gram_counts(labelled.where(F.col(lang_col).isNotNull()), lang_col, text_col)
     )
-    unseen = {lang: -math.log(size) for lang, size in size_of.items()}
-    return LanguageProfiles(grams, vocabulary, unseen)
+    vocabulary = counts.agg(F.countDistinct("gram")).scalar()
+    sizes = counts.groupBy(F.col(lang_col).alias("lang")).agg(F.sum("n").alias("total"))
+    unseen = sizes.select("lang", (-F.ln(F.col("total") + vocabulary)).alias("unseen"))
+    # ln((n + 1) / size) - ln(1 / size)
+    gains = counts.select("gram", F.col(lang_col).alias("lang"), F.ln(F.col("n") + 1).alias("gain"))
+    return LanguageProfiles(gains, unseen)
 
 
 def english_filter(

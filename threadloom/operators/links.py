@@ -6,7 +6,11 @@ from threadloom.constants import WS_BODY
 from threadloom.functions.text import html_unescape
 from threadloom.sources.stages import cut_lineage
 
-ANCHOR = rf'(?i)<a[{WS_BODY}](?:[^>]*?[{WS_BODY}])?href="([^"]*)"'
+# The value with its quotes, if any; blanks may stand around the sign.
+ANCHOR = (
+    rf"(?i)<a[{WS_BODY}](?:[^>]*?[{WS_BODY}\"'])?href[{WS_BODY}]*=[{WS_BODY}]*"
+    rf"(\"[^\"]*\"|'[^']*'|[^{WS_BODY}\"'>][^{WS_BODY}>]*)"
+)
 
 
 def site_root(url: Column) -> Column:
@@ -14,8 +18,16 @@ def site_root(url: Column) -> Column:
     return F.substring_index(url, "/", 3)
 
 
+def _unquoted(value: Column) -> Column:
+    quoted = F.substring(value, 1, 1).isin('"', "'")
+    return F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
+
 def extract_links(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """Same-site links per page in document order, root-relative ones made absolute."""
+    """Same-site links per page in document order, root-relative ones made absolute.
+
+    Values may stand in double quotes, single quotes or none.
+    """
     found = pages.select(
         id_col,
         F.col("url").alias("page_url"),
@@ -23,7 +35,7 @@ def extract_links(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
         F.posexplode(F.regexp_extract_all(F.col("html"), F.lit(ANCHOR), F.lit(1))).alias(
             "link_idx", "_raw"
         ),
-    ).withColumn("_href", html_unescape(F.col("_raw")))
+    ).withColumn("_href", html_unescape(_unquoted(F.col("_raw"))))
     absolute = F.when(
         F.col("_href").startswith("/"), F.concat("_root", "_href")
     ).otherwise(F.col("_href"))

@@ -15,11 +15,23 @@ def _selected(id_col: str, seed, cut: Column) -> Column:
 
 
 def sample_n(df: DataFrame, n: int | None, seed, id_col: str) -> DataFrame:
-    """Exactly ``n`` rows without replacement; everything if n is unset or too large."""
+    """Exactly ``n`` rows without replacement; everything if n is unset or too large.
+
+    Rows are selected by a filter on their hash. Rows that share the hash of the cut, such as those
+    of one id or of none, are told apart by their values.
+    """
     if not n:
         return df
     cut = hash_cut(df, id_col, seed, F.lit(n)).scalar()
-    return df.where(_selected(id_col, seed, cut))
+    keyed = sampling_hash(id_col, seed)
+    counts = df.agg(
+        F.count(F.when(keyed < F.coalesce(cut, F.lit(NO_CUT)), 1)).alias("below"),
+        F.count(F.when(keyed == cut, 1)).alias("at"),
+    ).first()
+    if counts["below"] + counts["at"] <= n:
+        return df.where(_selected(id_col, seed, cut))
+    tied = df.where(keyed == cut).orderBy(F.to_json(F.struct(*df.columns))).limit(n - counts["below"])
+    return df.where(keyed < cut).unionByName(tied)
 
 
 def stratum_counts(df: DataFrame, strata_col: str, values: list[str]) -> DataFrame:

@@ -106,9 +106,11 @@ def scan_images_query(spark, d):
 
 
 # --- links ---------------------------------------------------------------------------
+_QUOTES = "\"'"
+_ANCHOR_SQL = r"""(?i)<a\s(?:[^>]*?[\s"'])?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
 _LINKS_SQL = f"""found AS (
   SELECT page_id, url, array_to_string(string_split(url, '/')[1:3], '/') AS root,
-         regexp_extract_all(html, {q(links.ANCHOR)}, 1) AS hs FROM pages),
+         list_transform(regexp_extract_all(html, {q(_ANCHOR_SQL)}, 1), lambda v: trim(v, {q(_QUOTES)})) AS hs FROM pages),
 raw_links AS (
   SELECT page_id, url, root, CAST(i - 1 AS INTEGER) AS link_idx, {sql_unescape("hs[i]")} AS h
   FROM (SELECT *, unnest(range(1, len(hs) + 1)) AS i FROM found)),

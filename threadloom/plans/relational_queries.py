@@ -155,9 +155,9 @@ def word_frequency_query(spark, d):
 
 def gibberish_sql(source: str, id_col: str, min_zipf: float) -> str:
     """CTEs ``judged(id, n_tokens, n_words, n_common, verdict)`` over ``source(id, text)``."""
-    return f"""{_WORDS_SQL},
+    return rf"""{_WORDS_SQL},
 split_words AS (
-  SELECT {id_col}, len(list_filter(string_split_regex(trim(text), ' +'), lambda t: length(t) > 0)) AS n_tokens,
+  SELECT {id_col}, len(list_filter(string_split_regex(text, '[\s\x0B\x1c-\x1f\x{{85}}\p{{Z}}]+'), lambda t: length(t) > 0)) AS n_tokens,
          regexp_extract_all(lower(text), '[A-Za-z'']{{3,}}') AS ws FROM {source}),
 counted AS (
   SELECT {id_col}, n_tokens, len(ws) AS n_words, coalesce(n_common, 0) AS n_common FROM split_words
