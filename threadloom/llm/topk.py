@@ -3,9 +3,9 @@
 Tasks index their own split of the documents into shard files in the shared folder: postings by term,
 in blocks of documents. Document frequencies and lengths are summed over all shards, so that every
 shard scores with global statistics. A search task loads a shard, turns term frequencies into
-impacts with their maxima per term and block, and walks the blocks of a query from the largest upper
-bound down: a block whose summed maxima cannot reach the k-th score so far is skipped, and with
-it all that follow. The shards' exact best rows are merged exactly.
+impacts with their maxima per term and block. Terms that cannot reach the k-th score by themselves nominate no
+document, and block maxima bound what they add to the nominees of the others, so that most postings
+of common words are never scored. The shards' exact best rows are merged exactly.
 """
 
 from __future__ import annotations
@@ -27,29 +27,52 @@ BLOCK_DOCS = 64
 SHARD_DOCS = 16_384
 SHARD_TOKENS = 1 << 24
 QUERY_BLOCK = 512
-BLOCKS_AT_ONCE = 8
+FIRST_TERMS = 16
+NOMINEES_AT_ONCE = 24
+MARGIN = 1e-6  # more than rounding can move a sum
 DIGITS = 9  # scores are compared after rounding, so that the order of sums does not decide ties
 
 
 # --- index ------------------------------------------------------------------
-_PARTS = (("doc_ids", "<i8"), ("lengths", "<i8"), ("terms", "<i8"), ("bounds", "<i8"), ("docs", "<u4"), ("tf", "<u4"))
+_PARTS = (("doc_ids", "<i8"), ("lengths", "<i8"), ("terms", "<i8"), ("bounds", "<i8"), ("docs", "<i4"), ("tf", "<i4"))
 
 
 def build_shard(doc_ids: np.ndarray, terms: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
-    """Postings of documents whose term hashes lie one after the other in ``terms``."""
-    docs = np.repeat(np.arange(len(lengths), dtype=np.uint32), lengths)
+    """Postings of documents whose term hashes lie one after the other in ``terms``.
+
+    Documents are numbered by their most frequent term, then by length, so that a block holds
+    documents of one kind and its maxima are tight.
+    """
+    docs = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     order = np.argsort(terms, kind="stable")
     terms, docs = terms[order], docs[order]
-    new = np.flatnonzero(np.concatenate(([True], (terms[1:] != terms[:-1]) | (docs[1:] != docs[:-1])))) if len(terms) else np.zeros(0, np.int64)
-    tf = np.diff(np.concatenate((new, [len(terms)]))).astype(np.uint32)
+    new = _starts(terms, docs)
+    tf = np.diff(np.concatenate((new, [len(terms)]))).astype(np.int32)
     terms, docs = terms[new], docs[new]
-    first = np.flatnonzero(np.concatenate(([True], terms[1:] != terms[:-1]))) if len(terms) else np.zeros(0, np.int64)
+    leading = np.zeros(len(lengths), np.int64)
+    by_tf = np.lexsort((terms, tf))  # of equally frequent terms the largest hash
+    leading[docs[by_tf]] = terms[by_tf]
+    kinds = np.lexsort((lengths, leading))
+    number = np.empty(len(lengths), np.int32)
+    number[kinds] = np.arange(len(lengths), dtype=np.int32)
+    docs = number[docs]
+    order = np.lexsort((docs, terms))
+    terms, docs, tf = terms[order], docs[order], tf[order]
+    first = _starts(terms)
     return {
-        "doc_ids": doc_ids, "lengths": lengths, "terms": terms[first],
+        "doc_ids": doc_ids[kinds], "lengths": lengths[kinds], "terms": terms[first],
         "bounds": np.concatenate((first, [len(terms)])), "docs": docs, "tf": tf,
     }
 
 
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    changed = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return np.flatnonzero(np.concatenate(([True], changed)))
+
+
 def _save(out, shard: dict[str, np.ndarray]) -> None:
     out.write(np.asarray([len(shard[name]) for name, _ in _PARTS], "<i8").tobytes())
     for name, kind in _PARTS:
@@ -63,71 +86,113 @@ def _load(stream) -> dict[str, np.ndarray]:
     }
 
 
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The numbers from each first to before each last, one after the other."""
+    size = last - first
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
+
+
 class Shard:
     """A shard ready to be searched, with impacts under the global average length."""
 
     def __init__(self, parts: dict[str, np.ndarray], average: float, block_docs: int = BLOCK_DOCS):
         self.doc_ids, self.terms, self.bounds = parts["doc_ids"], parts["terms"], parts["bounds"]
-        self.docs = parts["docs"].astype(np.int64)
-        self.n_blocks = -(-len(self.doc_ids) // block_docs)
-        tf = parts["tf"].astype(float)
+        self.docs = parts["docs"]
+        self.block_docs, self.n_blocks = block_docs, -(-len(self.doc_ids) // block_docs)
         norm = K1 * (1 - B + B * parts["lengths"] / max(average, 1e-12))
-        self.impact = tf * (K1 + 1) / (tf + norm[self.docs])
-        block = self.docs // block_docs
-        term_of = np.repeat(np.arange(len(self.terms)), np.diff(self.bounds))
-        if len(block):
-            starts = np.flatnonzero(np.concatenate(([True], (block[1:] != block[:-1]) | (term_of[1:] != term_of[:-1]))))
-            self.block_max = np.maximum.reduceat(self.impact, starts)
-        else:
-            starts, self.block_max = np.zeros(0, np.int64), np.zeros(0)
-        self.block_of = block[starts]
-        self.runs = np.concatenate((starts, [len(block)]))
+        self.impact = norm[self.docs]
+        self.impact += parts["tf"]
+        np.divide(parts["tf"] * (K1 + 1), self.impact, out=self.impact)
+        term_of = np.repeat(np.arange(len(self.terms), dtype=np.int32), np.diff(self.bounds))
+        starts = _starts(term_of, self.docs // block_docs)
+        some = len(starts) > 0
+        self.block_max = np.maximum.reduceat(self.impact, starts) if some else np.zeros(0)
+        self.term_max = np.maximum.reduceat(self.impact, self.bounds[:-1]) if some else np.zeros(0)
+        self.block_of = self.docs[starts] // block_docs
         # Runs of a term: from its first to the next term's first.
         self.run_bounds = np.searchsorted(starts, self.bounds)
+        # The same postings by document, to score a few documents in full.
+        by_doc = np.argsort(self.docs, kind="stable")
+        self.own_terms, self.own_impact = term_of[by_doc], self.impact[by_doc]
+        self.own_bounds = np.concatenate(([0], np.cumsum(np.bincount(self.docs, minlength=len(self.doc_ids)))))
+        self.weight = np.zeros(len(self.terms))
         self.evaluated = 0  # postings scored, for tests and tuning
 
-    def _ranges(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        size = last - first
-        ends = np.cumsum(size)
-        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
+    def _sums(self, at: np.ndarray, idf: np.ndarray) -> np.ndarray:
+        """Scores of all documents over the terms ``at``."""
+        first, last = self.bounds[at], self.bounds[at + 1]
+        rows = _ranges(first, last)
+        self.evaluated += len(rows)
+        return np.bincount(self.docs[rows], np.repeat(idf, last - first) * self.impact[rows], len(self.doc_ids))
+
+    def _block_bounds(self, at: np.ndarray, idf: np.ndarray) -> np.ndarray:
+        first, last = self.run_bounds[at], self.run_bounds[at + 1]
+        runs = _ranges(first, last)
+        return np.bincount(self.block_of[runs], np.repeat(idf, last - first) * self.block_max[runs], self.n_blocks)
+
+    def _scores(self, docs: np.ndarray, at: np.ndarray, idf: np.ndarray) -> np.ndarray:
+        """Scores of the documents ``docs`` over the terms ``at``."""
+        self.weight[at] = idf
+        first, last = self.own_bounds[docs], self.own_bounds[docs + 1]
+        rows = _ranges(first, last)
+        weight = self.weight[self.own_terms[rows]]
+        self.weight[at] = 0.0
+        self.evaluated += int(np.count_nonzero(weight))
+        return np.bincount(np.repeat(np.arange(len(docs)), last - first), weight * self.own_impact[rows], len(docs))
 
     def search(self, query: int, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and rounded scores of the ``k`` best documents other than ``query`` itself."""
-        at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-        here = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
+        """Ids and rounded scores of the ``k`` best documents other than ``query`` itself.
+
+        The terms of smallest maxima, which together stay below the k-th score found so far, cannot lift
+        a document over it by themselves: only the other terms nominate documents (WAND's pivot). A
+        nominee whose score so far plus the block maxima of the small terms stays below is
+        skipped; the rest are scored in full, the most promising first.
+        """
+        if not len(self.terms):
+            return np.zeros(0, np.int64), np.zeros(0)
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        here = self.terms[at] == terms
         at, idf = at[here], idf[here]
-        first, last = self.run_bounds[at], self.run_bounds[at + 1] if len(at) else at
-        runs = self._ranges(first, last)
-        weight = np.repeat(idf, last - first)
-        run_block = self.block_of[runs]
-        bound = np.bincount(run_block, weight * self.block_max[runs], self.n_blocks)
-        by_block = np.argsort(run_block, kind="stable")
-        block_at = np.searchsorted(run_block[by_block], np.arange(self.n_blocks + 1))
-        order = np.argsort(-bound, kind="stable")
-        ids, scores = np.zeros(0, np.int64), np.zeros(0)
+        top = idf * self.term_max[at]
+        order = np.argsort(top, kind="stable")
+        at, idf, reach = at[order], idf[order], np.cumsum(top[order])
+        best: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0))
+
+        def take(docs: np.ndarray, scores: np.ndarray) -> float:
+            """Merge scored documents into the best; returns the k-th score."""
+            nonlocal best
+            ids = np.concatenate((best[0], self.doc_ids[docs]))
+            scores = np.concatenate((best[1], np.round(scores, DIGITS)))
+            keep = (ids != query) & (scores > 0)
+            ids, scores = ids[keep], scores[keep]
+            first = np.lexsort((ids, -scores))[:k]
+            best = ids[first], scores[first]
+            return float(scores[first[-1]]) - MARGIN if len(first) == k else 0.0
+
+        # The largest terms alone give a first k-th score that documents really reach.
         floor = 0.0
-        for start in range(0, len(order), BLOCKS_AT_ONCE):
-            blocks = order[start : start + BLOCKS_AT_ONCE]
-            # Bounds fall along the order: below the k-th score nothing is left to find.
-            blocks = blocks[(bound[blocks] > 0) & (bound[blocks] >= floor - 1e-6)]
-            if not len(blocks):
+        start = len(at) - min(FIRST_TERMS, len(at) // 2)
+        partial = self._sums(at[start:], idf[start:])
+        likely = np.argsort(-partial, kind="stable")[: 2 * k]
+        likely = likely[partial[likely] > 0]
+        floor = take(likely, self._scores(likely, at, idf))
+        pivot = int(np.searchsorted(reach, floor, side="left"))
+        if pivot == len(at):
+            return best
+        partial = self._sums(at[pivot:], idf[pivot:])
+        bound = partial + self._block_bounds(at[:pivot], idf[:pivot])[np.arange(len(partial)) // self.block_docs]
+        bound[partial == 0] = 0.0
+        bound[likely] = 0.0  # already taken
+        nominees = np.flatnonzero((bound >= floor) & (bound > 0))
+        nominees = nominees[np.argsort(-bound[nominees], kind="stable")]
+        for a in range(0, len(nominees), NOMINEES_AT_ONCE):
+            some = nominees[a : a + NOMINEES_AT_ONCE]
+            some = some[bound[some] >= floor]
+            if not len(some):
                 break
-            chosen = by_block[self._ranges(block_at[blocks], block_at[blocks + 1])]
-            run = runs[chosen]
-            a, b = self.runs[run], self.runs[run + 1]
-            postings = self._ranges(a, b)
-            self.evaluated += len(postings)
-            docs, place = np.unique(self.docs[postings], return_inverse=True)
-            score = np.bincount(place, np.repeat(weight[chosen], b - a) * self.impact[postings])
-            ids = np.concatenate((ids, self.doc_ids[docs]))
-            scores = np.concatenate((scores, np.round(score, DIGITS)))
-            keep = ids != query
-            ids, scores = ids[keep], scores[keep]
-            best = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[best], scores[best]
-            if len(ids) == k:
-                floor = scores[-1]
-        return ids, scores
+            floor = take(some, partial[some] + self._scores(some, at[:pivot], idf[:pivot]))
+        return best
 
 
 # --- Spark side -------------------------------------------------------------
@@ -230,7 +295,7 @@ def search_top_k(docs: DataFrame, is_query: Column, k: int = TOP, folder: str |
             out: tuple[list, list, list] = ([], [], [])
             for path, query, terms, idf in zip(*(batch.column(i) for i in range(4)), strict=True):
                 if path.as_py() != loaded:
-                    loaded = path.as_py()
+                    loaded, shard = path.as_py(), None  # let go of the last one first
                     with open_input(loaded) as stream:
                         shard = Shard(_load(stream), average)
                 ids, scores = shard.search(
