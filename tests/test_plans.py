@@ -51,3 +51,10 @@ def test_projection_reaches_the_scan(spark):
     plan = plan_of(QUERIES["top_active_authors"](spark, SF_DIR))
     assert "ReadSchema: struct<conv_id:bigint,role:string>" in plan
     assert "PushedFilters: [IsNotNull(role), Not(EqualTo(role,system))]" in plan
+
+
+def test_answers_bind_their_intermediates(spark):
+    from threadloom.plans.catalog import QUERIES
+
+    plan = QUERIES["answer_route"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 12 and plan.count("aggregate(") <= 6

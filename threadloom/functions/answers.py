@@ -33,6 +33,11 @@ SHIPPING = (
 FALLBACK_MIN_CHARS = 20
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def extract_reply(generated: Column, prompt: Column, first_line_only: bool = False) -> Column:
     """The reply part of a generated continuation of ``prompt``."""
     after_rule = F.substring_index(F.substring_index(generated, CITE_MARK, -1), ":", -1)
@@ -131,24 +136,29 @@ def _lines_to_show(lines: Column, max_lines: int = 6, max_chars: int = 400) -> C
 
 def snippet_digest(lines: Column) -> Column:
     """Head of the merged lines: 6 lines or 400 chars, stretched to 8 lines if tiny."""
-    shown = _lines_to_show(lines)
-    head = strip_ws(F.array_join(F.slice(lines, F.lit(1), shown), "\n"))
     longer = strip_ws(F.array_join(F.slice(lines, 1, 8), "\n"))
-    tiny = (F.length(head) <= FALLBACK_MIN_CHARS) & (F.size(lines) > shown)
-    return F.when(tiny, longer).otherwise(head)
+
+    def choose(shown: Column) -> Column:
+        head = strip_ws(F.array_join(F.slice(lines, F.lit(1), shown), "\n"))
+        more = F.size(lines) > shown
+        return bind(head, lambda h: F.when((F.length(h) <= FALLBACK_MIN_CHARS) & more, longer).otherwise(h))
+
+    return bind(_lines_to_show(lines), choose)
 
 
 def fallback_answer_v2(question: Column, contexts: Column) -> Column:
-    index = best_snippet(question, contexts)
-    digest = snippet_digest(merged_lines(F.try_element_at(contexts, index + 1)))
-    cited = F.concat(
-        F.lit(ANSWER_PREFIX), digest, F.lit(" ["), (index + 1).cast("string"), F.lit("]")
-    )
-    return (
-        F.when(F.coalesce(F.size(contexts), F.lit(0)) <= 0, ANSWER_NO_CONTEXT_V2)
-        .when(F.length(digest) > FALLBACK_MIN_CHARS, cited)
-        .otherwise(ANSWER_NO_DETAIL)
-    )
+    def cite(index: Column) -> Column:
+        lines = merged_lines(F.try_element_at(contexts, index + 1))
+        number = F.concat(F.lit(" ["), (index + 1).cast("string"), F.lit("]"))
+        return bind(
+            bind(lines, snippet_digest),
+            lambda digest: F.when(
+                F.length(digest) > FALLBACK_MIN_CHARS, F.concat(F.lit(ANSWER_PREFIX), digest, number)
+            ).otherwise(ANSWER_NO_DETAIL),
+        )
+
+    none = F.coalesce(F.size(contexts), F.lit(0)) <= 0
+    return F.when(none, ANSWER_NO_CONTEXT_V2).otherwise(bind(best_snippet(question, contexts), cite))
 
 
 def fallback_answer_v1(contexts: Column) -> Column:
@@ -175,33 +185,32 @@ def shipping_times(question: Column, contexts: Column) -> Column:
             ),
         )
     )
-    sentences = F.transform(
-        F.slice(quoted, 1, 3),
-        lambda q: F.concat(
-            q["method"], F.lit(" Shipping takes "), q["span"], F.lit(" [1].")
-        ),
-    )
-    asked = contains_keyword(question, SHIPPING_KEYWORDS)
-    return F.when(
-        asked & (F.size(quoted) > 0),
-        F.concat(F.lit(SHIPPING_LEAD), F.array_join(sentences, " ")),
-    )
+
+    def answer(quotes: Column) -> Column:
+        sentences = F.transform(
+            F.slice(quotes, 1, 3),
+            lambda q: F.concat(
+                q["method"], F.lit(" Shipping takes "), q["span"], F.lit(" [1].")
+            ),
+        )
+        lead = F.concat(F.lit(SHIPPING_LEAD), F.array_join(sentences, " "))
+        return F.when(F.size(quotes) > 0, lead)
+
+    return F.when(contains_keyword(question, SHIPPING_KEYWORDS), bind(quoted, answer))
 
 
 def answer_route(
     template: Column, valid: Column, fallback: Column, meaningful: Column, generic: str
-) -> tuple[Column, Column]:
-    """(answer, route): template, then first valid attempt, then fallback or generic."""
-    route = (
-        F.when(meaningful & template.isNotNull(), "template")
-        .when(valid.isNotNull(), "model")
-        .when(meaningful, "fallback")
-        .otherwise("generic")
-    )
-    answer = (
-        F.when(meaningful & template.isNotNull(), template)
-        .when(valid.isNotNull(), valid)
-        .when(meaningful, fallback)
-        .otherwise(generic)
+) -> Column:
+    """``struct<route, answer>``: template, then first valid attempt, then fallback or generic."""
+
+    def route(name: str, answer: Column) -> Column:
+        return F.struct(F.lit(name).alias("route"), answer.alias("answer"))
+
+    return bind(
+        template,
+        lambda t: F.when(meaningful & t.isNotNull(), route("template", t))
+        .when(valid.isNotNull(), route("model", valid))
+        .when(meaningful, route("fallback", fallback))
+        .otherwise(route("generic", F.lit(generic))),
     )
-    return answer, route

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from threadloom.constants import (
+    ANSWER_GENERIC_V1,
     ANSWER_GENERIC_V2,
     ANSWER_NO_CONTEXT_V1,
     ANSWER_NO_CONTEXT_V2,
@@ -18,6 +19,7 @@ from threadloom.constants import (
     WS,
 )
 from threadloom.functions import answers, context as cx
+from threadloom.functions.text import strip_ws
 from threadloom.operators import scoring
 from threadloom.operators.attempts import attempt_temperature, first_valid_attempt
 from threadloom.operators.history import history_window
@@ -360,46 +362,115 @@ def shipping_times_query(spark, d):
     )
 
 
+_ROUTED_SQL = f"""{_QUESTIONS_SQL}, {_FALLBACK_V2_SQL},
+    routed AS (
+      SELECT conv_id, turn, contexts, {_SHIPPING_SQL} AS template, fallback,
+        len(list_filter(contexts, lambda c: length({sql_strip("c")}) > 50)) > 0 AS meaningful FROM fallbacks)"""
+
+
+def _route_sql(valid: str, fallback: str, generic: str) -> str:
+    return f"""SELECT conv_id, turn,
+      CASE WHEN meaningful AND template IS NOT NULL THEN 'template' WHEN {valid} IS NOT NULL THEN 'model'
+           WHEN meaningful THEN 'fallback' ELSE 'generic' END AS route,
+      CASE WHEN meaningful AND template IS NOT NULL THEN template WHEN {valid} IS NOT NULL THEN {valid}
+           WHEN meaningful THEN {fallback} ELSE {q(generic)} END AS answer"""
+
+
+def _judged_attempts(spark, d, asked):
+    """The candidate answers of every question with its contexts."""
+    candidates = attempts(spark, d).withColumn("turn", F.col("turn") - 1)
+    return asked.select("conv_id", "turn", "contexts", "meaningful").join(candidates, ["conv_id", "turn"])
+
+
+_NORMAL = sql_squeeze(
+    sql_collapse(sql_re(sql_re(sql_strip("coalesce(text, '')"), r"(?i)\[USER\]", ""), answers.SIGNATURE, ""))
+)
+
+
 @register(
     "answer_route",
-    f"""WITH {_QUESTIONS_SQL}, {_FALLBACK_V2_SQL},
-    routed AS (
-      SELECT conv_id, turn, {_SHIPPING_SQL} AS template, fallback,
-        len(list_filter(contexts, lambda c: length({sql_strip("c")}) > 50)) > 0 AS meaningful FROM fallbacks),
+    f"""WITH {_ROUTED_SQL},
     valid AS (
-      SELECT r.conv_id, r.turn, arg_min(response, attempt) AS valid FROM routed r
+      SELECT r.conv_id * 100 + r.turn AS item, arg_min(response, attempt) AS text FROM routed r
       JOIN attempts a ON a.conv_id = r.conv_id AND a.turn = r.turn + 1
-      WHERE NOT meaningful OR regexp_matches(response, {q(cx.CITATION)}) GROUP BY ALL)
-    SELECT conv_id, turn,
-      CASE WHEN meaningful AND template IS NOT NULL THEN 'template' WHEN valid IS NOT NULL THEN 'model'
-           WHEN meaningful THEN 'fallback' ELSE 'generic' END AS route,
-      CASE WHEN meaningful AND template IS NOT NULL THEN template WHEN valid IS NOT NULL THEN valid
-           WHEN meaningful THEN fallback ELSE {q(ANSWER_GENERIC_V2)} END AS answer
-    FROM routed LEFT JOIN valid USING (conv_id, turn)""",
+      WHERE NOT meaningful OR regexp_matches(response, {q(cx.CITATION)}) GROUP BY ALL),
+    tidy AS (SELECT item, {_NORMAL} AS text FROM valid WHERE text IS NOT NULL),
+    {gibberish_sql("tidy", "item", 5.0)},
+    cleaned AS (
+      SELECT item, CASE verdict WHEN 'short' THEN {q(ANSWER_TROUBLE)} WHEN 'ok' THEN text ELSE {q(ANSWER_UNCLEAR)} END AS reply
+      FROM tidy JOIN judged USING (item))
+    {_route_sql("reply", "fallback", ANSWER_GENERIC_V2)} FROM routed LEFT JOIN cleaned ON item = conv_id * 100 + turn""",
 )
 def answer_route_query(spark, d):
-    """One grounded answer per customer turn, end to end."""
+    """One grounded answer per customer turn: judged attempts, the accepted one cleaned, or a way around."""
     asked = questions(spark, d).withColumn("meaningful", cx.context_relevance(F.col("contexts")))
-    candidates = attempts(spark, d).withColumn("turn", F.col("turn") - 1)
-    judged = asked.select("conv_id", "turn", "contexts", "meaningful").join(
-        candidates, ["conv_id", "turn"]
-    )
     accepted = cx.accept_answer(
         F.col("meaningful"),
         cx.has_citation(F.col("response")),
         cx.grounding_check(F.col("response"), F.col("contexts")),
     )
-    valid = first_valid_attempt(judged, ["conv_id", "turn"], accepted)
-    answer, route = answers.answer_route(
+    item = F.col("conv_id") * 100 + F.col("turn")
+    valid = first_valid_attempt(_judged_attempts(spark, d, asked), ["conv_id", "turn"], accepted)
+    tidy = valid.where(F.col("valid_response").isNotNull()).select(
+        item.alias("item"), answers.normalize_response_v2(F.col("valid_response")).alias("text")
+    )
+    frequencies = scoring.word_frequency(table(spark, d, "documents"))
+    verdicts = scoring.gibberish_gate(tidy, frequencies, "item", min_zipf=5.0).select("item", "verdict")
+    cleaned = tidy.join(verdicts, "item").select(
+        "item", answers.gate_answer(F.col("text"), F.col("verdict")).alias("reply")
+    )
+    chosen = answers.answer_route(
         answers.shipping_times(F.col("message"), F.col("contexts")),
-        F.col("valid_response"),
+        F.col("reply"),
         answers.fallback_answer_v2(F.col("message"), F.col("contexts")),
         F.col("meaningful"),
         ANSWER_GENERIC_V2,
     )
-    return asked.join(valid, ["conv_id", "turn"], "left").select(
-        "conv_id", "turn", route.alias("route"), answer.alias("answer")
+    # The generator evaluates the choice once for both of its columns.
+    return asked.withColumn("item", item).join(cleaned, "item", "left").select(
+        "conv_id", "turn", F.inline(F.array(chosen))
+    )
+
+
+_FIRST_LINE = sql_strip("string_split(text, chr(10))[1]")
+
+
+@register(
+    "answer_route_v1",
+    f"""WITH {_ROUTED_SQL},
+    valid AS (
+      SELECT r.conv_id, r.turn, arg_min(response, attempt) AS text FROM routed r
+      JOIN (SELECT conv_id AS aid, turn AS aturn, attempt, response FROM attempts) ON aid = r.conv_id AND aturn = r.turn + 1
+      WHERE NOT meaningful OR regexp_matches(response, {q(cx.CITATION)}) OR {_SHARED} >= 3 GROUP BY ALL),
+    first_lines AS (SELECT conv_id, turn, {_FIRST_LINE} AS text FROM valid WHERE text IS NOT NULL),
+    {sql_clean_v1("first_lines")},
+    cleaned AS (SELECT conv_id, turn, CASE WHEN tidy <> '' THEN tidy ELSE {q(ANSWER_TROUBLE)} END AS reply FROM clean_v1),
+    older AS (SELECT *, CASE WHEN len(contexts) = 0 THEN {q(ANSWER_NO_CONTEXT_V1)}
+      WHEN length({_V1_DIGEST}) > 20 THEN concat({q(ANSWER_PREFIX)}, {_V1_DIGEST}, ' [1]')
+      ELSE {q(ANSWER_NO_DETAIL)} END AS older_fallback FROM routed)
+    {_route_sql("reply", "older_fallback", ANSWER_GENERIC_V1)} FROM older LEFT JOIN cleaned USING (conv_id, turn)""",
+)
+def answer_route_v1_query(spark, d):
+    """The older path: first line only, a citation or shared words accept, the older cleaner and fallback."""
+    asked = questions(spark, d).withColumn("meaningful", cx.context_relevance(F.col("contexts")))
+    accepted = (
+        ~F.col("meaningful")
+        | cx.has_citation(F.col("response"))
+        | cx.keyword_overlap(F.col("response"), F.col("contexts"))
+    )
+    valid = first_valid_attempt(_judged_attempts(spark, d, asked), ["conv_id", "turn"], accepted)
+    line = strip_ws(F.substring_index("valid_response", "\n", 1))
+    cleaned = valid.where(F.col("valid_response").isNotNull()).select(
+        "conv_id", "turn", answers.clean_response_v1(line).alias("reply")
+    )
+    chosen = answers.answer_route(
+        answers.shipping_times(F.col("message"), F.col("contexts")),
+        F.col("reply"),
+        answers.fallback_answer_v1(F.col("contexts")),
+        F.col("meaningful"),
+        ANSWER_GENERIC_V1,
     )
+    return asked.join(cleaned, ["conv_id", "turn"], "left").select("conv_id", "turn", F.inline(F.array(chosen)))
 
 
 # --- replies --------------------------------------------------------------------------------
@@ -427,11 +498,6 @@ def extract_reply_query(spark, d):
     )
 
 
-_NORMAL = sql_squeeze(
-    sql_collapse(sql_re(sql_re(sql_strip("coalesce(text, '')"), r"(?i)\[USER\]", ""), answers.SIGNATURE, ""))
-)
-
-
 @register(
     "clean_response_v2",
     f"""WITH {DIRTY_SQL}, tidy AS (SELECT answer_id, {_NORMAL} AS text FROM dirty),
