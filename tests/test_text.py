@@ -107,8 +107,8 @@ def test_dm_flag(texts):
 
 def test_collapse_and_mojibake(texts):
     assert texts(answers.collapse_repeats, ["aaaaaaaab zzzzzz"]) == ["ab zzzzzz"]
-    cases = ["Ã©", "é", "Ã© ’", "plain", None, "Ã"]
-    assert texts(answers.fix_mojibake, cases) == ["é", "é", "Ã© ’", "plain", None, "Ã"]
+    cases = ["Ã©", "é", "Ã© ’ it’s", "itâ€™s ðŸ˜€ Ã", "plain", None, "Ã", "Â«Ã¼ber 漢"]
+    assert texts(answers.fix_mojibake, cases) == ["é", "é", "é ’ it’s", "it’s 😀 Ã", "plain", None, "Ã", "«über 漢"]
 
 
 def test_merged_lines(texts):

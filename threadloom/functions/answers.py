@@ -32,6 +32,14 @@ SHIPPING = (
 )
 FALLBACK_MIN_CHARS = 20
 
+# The characters windows-1252 shows for bytes 80 to 9F, and those bytes as Latin-1.
+CP1252_CHARS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+CP1252_BYTES = CP1252_CHARS.encode("cp1252").decode("latin-1")
+_CONT = r"[\x{80}-\x{BF}" + CP1252_CHARS + "]"
+DAMAGED = (
+    rf"(?:[\x{{C2}}-\x{{DF}}]{_CONT}|[\x{{E0}}-\x{{EF}}]{_CONT}{{2}}|[\x{{F0}}-\x{{F4}}]{_CONT}{{3}})+"
+)
+
 
 def bind(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once however often the body uses it."""
@@ -56,12 +64,20 @@ def collapse_repeats(text: Column) -> Column:
 
 
 def fix_mojibake(text: Column) -> Column:
-    """Undo UTF-8 text that was read as Latin-1, when the whole text is reversible."""
-    looks_broken = text.rlike(r"\A[\x{00}-\x{FF}]*\z") & text.rlike(
-        r"[\x{C2}-\x{F4}][\x{80}-\x{BF}]"
-    )
-    redone = F.encode(F.when(looks_broken, text), "ISO-8859-1").cast("string")
-    return F.when(F.is_valid_utf8(redone), redone).otherwise(text)
+    """Undo UTF-8 that was read as Latin-1 or windows-1252, run by run.
+
+    A run of characters that spell UTF-8 bytes is replaced if the bytes are valid; the rest
+    of the text, whatever it holds, stays.
+    """
+
+    def repaired(run: Column) -> Column:
+        bytes_ = F.encode(F.translate(run, CP1252_CHARS, CP1252_BYTES), "ISO-8859-1")
+        return bind(bytes_.cast("string"), lambda t: F.when(F.is_valid_utf8(t), t).otherwise(run))
+
+    between = F.split(text, DAMAGED, -1)
+    runs = F.regexp_extract_all(text, F.lit(DAMAGED), F.lit(0))
+    pieces = F.zip_with(between, runs, lambda b, r: F.concat(b, F.coalesce(repaired(r), F.lit(""))))
+    return F.array_join(pieces, "")
 
 
 def strip_artifacts(text: Column) -> Column:

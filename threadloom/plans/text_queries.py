@@ -314,6 +314,32 @@ def chunk_recursive_query(spark, d):
     return chunk_recursive(table(spark, d, "documents"), ["doc_id", "source"])
 
 
+# A text that fits one chunk is that chunk; of longer ones no word may be lost, no chunk may be too
+# long and every chunk must stand in the text.
+@register(
+    "chunk_recursive_checks",
+    f"""SELECT doc_id, TRUE AS short_enough, TRUE AS from_text, TRUE AS no_word_lost,
+      CASE WHEN length(text) <= 1000 AND {sql_strip("text")} <> '' THEN md5({sql_strip("text")}) END AS only_chunk
+      FROM documents""",
+)
+def chunk_recursive_checks_query(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    chunks = chunk_recursive(docs, ["doc_id"]).groupBy("doc_id").agg(F.collect_list("text").alias("chunks"))
+    found = F.coalesce("chunks", F.array().cast("array<string>"))
+    text = F.coalesce("text", F.lit(""))
+    # A full stop before a blank may open the next chunk instead of ending its word.
+    words = lambda t: F.filter(F.split(t, "[.]?[ \n]+|[.]$"), lambda w: ~w.isin("", "."))
+    lost = F.array_except(words(text), F.flatten(F.transform(found, words)))
+    alone = (F.length("text") <= 1000) & (F.size(found) == 1)
+    return docs.join(chunks, "doc_id", "left").select(
+        "doc_id",
+        F.forall(found, lambda c: F.length(c) <= 1000).alias("short_enough"),
+        F.forall(found, lambda c: F.contains(text, c)).alias("from_text"),
+        (F.size(lost) == 0).alias("no_word_lost"),
+        F.when(alone, F.md5(F.get(found, F.lit(0)))).alias("only_chunk"),
+    )
+
+
 # --- answer cleaning --------------------------------------------------------------------
 _DIRTY = """CASE conv_id % 6
   WHEN 0 THEN concat('[user] ', text, ' -EmmaW')
@@ -383,11 +409,10 @@ def collapse_repeats_query(spark, d):
 
 @register(
     "fix_mojibake",
-    r"""SELECT doc_id, CASE WHEN regexp_matches(text, '[^\x00-\x7f]') THEN concat(text, ' cafÃ©')
-        ELSE concat(text, ' café') END AS out FROM documents""",
+    "SELECT doc_id, concat(text, ' café — it’s 😀 ok') AS out FROM documents",
 )
 def fix_mojibake_query(spark, d):
-    broken = F.concat("text", F.lit(" cafÃ©"))
+    broken = F.concat("text", F.lit(" cafÃ© â€” itâ€™s 😀 ok"))
     return table(spark, d, "documents").select("doc_id", answers.fix_mojibake(broken).alias("out"))
 
 
