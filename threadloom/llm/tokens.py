@@ -14,14 +14,17 @@ import types
 
 import numpy as np
 
-_CACHE = 2_000_000
+# A worker remembers this many chunks, about 200 bytes each.
+_COMMON = 900_000
+_RECENT = 300_000
+_LONGEST = 64
 _END_MARKS = ".,"
 # A blank or line break belongs to the visible characters after it.
 _CHUNKS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
 
 class ChunkEncoder:
-    """Ids of texts; chunks seen before come from a bounded cache."""
+    """Ids of texts; chunks seen before come from bounded memory."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -32,7 +35,9 @@ class ChunkEncoder:
         self.vocabulary = self.tokenizer.get_vocab_size()
         # Blanks vanish only if the pre-tokenizer drops them.
         self.drops_blanks = not self._encode([" a"])[0] != self._encode(["a"])[0]
-        self.cache: dict[str, bytes] = {}
+        # Chunks met in two calls or more, and those met once lately.
+        self.common: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
         self.marks = {m: np.asarray(ids, "<u4").tobytes() for m, ids in zip(_END_MARKS, self._encode(list(_END_MARKS)), strict=True)}
 
     def _encode(self, chunks: list[str]) -> list[list[int]]:
@@ -41,32 +46,50 @@ class ChunkEncoder:
     def chunks(self, text: str) -> list[str]:
         return text.split(" ") if self.drops_blanks else _CHUNKS.findall(text)
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: list[str], known: dict[str, bytes]) -> None:
+        """Add the ids of new ``chunks`` to ``known``."""
         marks = self.marks
         # A final mark after a letter is a piece of its own, so the bare word serves both forms.
         # Only plain letters: a case change may depend on what follows other ones.
         bare = {c: c[:-1] for c in chunks if c[-1:] in marks and c.isascii() and c[-2:-1].isalpha()}
-        fresh = [w for w in {bare.get(c, c) for c in chunks} if w not in self.cache]
+        fresh = []
+        for word in {bare.get(c, c) for c in chunks}:
+            ids = known.get(word) or self.common.get(word) or self.recent.get(word)
+            if ids is None:
+                fresh.append(word)
+            else:
+                known[word] = ids
         for start in range(0, len(fresh), 4096):
             part = fresh[start : start + 4096]
             ids = self._encode(part)
             ends = np.cumsum([4 * len(x) for x in ids]).tolist()
             flat = np.asarray([i for x in ids for i in x], "<u4").tobytes()
             for chunk, a, b in zip(part, [0, *ends], ends, strict=False):
-                self.cache[chunk] = flat[a:b]
+                known[chunk] = flat[a:b]
         for chunk, word in bare.items():
-            self.cache[chunk] = self.cache[word] + marks[chunk[-1]]
+            known[chunk] = known[word] + marks[chunk[-1]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Little-endian unsigned 32-bit ids of every text."""
         split = [self.chunks(t) for t in texts]
-        needed = set().union(*split)
-        unseen = [c for c in needed if c not in self.cache]
-        if len(self.cache) + len(unseen) > _CACHE:  # start anew with what this call needs
-            self.cache.clear()
-            unseen = list(needed)
-        self._learn(unseen)
-        find = self.cache.__getitem__
+        known: dict[str, bytes] = {}
+        new = []
+        for chunk in set().union(*split):
+            ids = self.common.get(chunk)
+            if ids is None:
+                ids = self.recent.get(chunk)
+                if ids is None:
+                    new.append(chunk)
+                    continue
+                if len(self.common) < _COMMON and len(chunk) <= _LONGEST:
+                    self.common[chunk] = ids
+            known[chunk] = ids
+        self._learn(new, known)
+        if len(self.recent) + len(new) > _RECENT:
+            self.recent.clear()
+        if len(new) <= _RECENT:
+            self.recent.update((c, known[c]) for c in new if len(c) <= _LONGEST)
+        find = known.__getitem__
         return [np.frombuffer(b"".join(map(find, chunks)), "<u4") for chunks in split]
 
 

@@ -59,7 +59,7 @@ _GRAM = 4
 _TABLE_SIZE = LETTERS**_GRAM
 # Four or more single symbols set apart, the last one perhaps before punctuation.
 _APART = re.compile(r"(?<!\S)[^\W_](?:[ \t]{1,3}(?:[^\W_]|[@$!|€£+])(?![^\s.,;:?!])){3,}")
-_CACHE = 200_000
+_CACHE = 100_000
 
 
 # --- language model ---------------------------------------------------------
