@@ -24,9 +24,10 @@ from threadloom.sources.stages import scratch_path
 K1, B = 1.2, 0.75
 TOP = 10
 BLOCK_DOCS = 64
-SHARD_DOCS = 16_384
+SHARD_DOCS = 8_192
 SHARD_TOKENS = 1 << 24
-QUERY_BLOCK = 512
+QUERY_BLOCK = 2_048
+MOST_TASKS = 100_000
 FIRST_TERMS = 16
 NOMINEES_AT_ONCE = 24
 MARGIN = 1e-6  # more than rounding can move a sum
@@ -73,17 +74,23 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], changed)))
 
 
-def _save(out, shard: dict[str, np.ndarray]) -> None:
-    out.write(np.asarray([len(shard[name]) for name, _ in _PARTS], "<i8").tobytes())
-    for name, kind in _PARTS:
-        out.write(np.ascontiguousarray(shard[name], kind).tobytes())
+_QUERY_PARTS = (("ids", "<i8"), ("bounds", "<i8"), ("terms", "<i8"), ("idf", "<f8"))
 
 
-def _load(stream) -> dict[str, np.ndarray]:
-    sizes = np.frombuffer(stream.read(8 * len(_PARTS)), "<i8").tolist()
-    return {
-        name: np.frombuffer(stream.read(n * np.dtype(kind).itemsize), kind) for (name, kind), n in zip(_PARTS, sizes, strict=True)
-    }
+def _save(uri: str, arrays: dict[str, np.ndarray], parts=_PARTS) -> None:
+    with atomic_output(uri) as out:
+        out.write(np.asarray([len(arrays[name]) for name, _ in parts], "<i8").tobytes())
+        for name, kind in parts:
+            out.write(np.ascontiguousarray(arrays[name], kind).tobytes())
+
+
+def _load(uri: str, parts=_PARTS) -> dict[str, np.ndarray]:
+    with open_input(uri) as stream:
+        sizes = np.frombuffer(stream.read(8 * len(parts)), "<i8").tolist()
+        return {
+            name: np.frombuffer(stream.read(n * np.dtype(kind).itemsize), kind)
+            for (name, kind), n in zip(parts, sizes, strict=True)
+        }
 
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -218,8 +225,7 @@ def write_index(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
             lengths = np.concatenate(held[2])
             shard = build_shard(np.concatenate(held[0]), np.concatenate(held[1]), lengths)
             path = f"{folder}/shard-{partition:06d}-{number:04d}.idx"
-            with atomic_output(path) as out:
-                _save(out, shard)
+            _save(path, shard)
             names = ["path", "docs", "tokens", "term", "df"]
             none = [pa.array([None], pa.int64())] * 2
             yield pa.RecordBatch.from_arrays(
@@ -260,6 +266,32 @@ def write_index(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     return files, written.where("term is not null").groupBy("term").agg(F.sum("df").alias("df"))
 
 
+def _write_queries(weighted: DataFrame, folder: str) -> DataFrame:
+    """Write ``query_id, terms, idf`` rows to files of at most ``QUERY_BLOCK`` queries; returns ``block, queries``: their paths and sizes."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partition, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for start in range(0, len(batch), QUERY_BLOCK):
+                some = batch.slice(start, QUERY_BLOCK)
+                terms = some.column(1)
+                arrays = {
+                    "ids": some.column(0).to_numpy(zero_copy_only=False),
+                    "bounds": np.concatenate(([0], np.cumsum(np.diff(terms.offsets.to_numpy())))),
+                    "terms": terms.flatten().to_numpy(zero_copy_only=False),
+                    "idf": some.column(2).flatten().to_numpy(zero_copy_only=False),
+                }
+                path = f"{folder}/queries-{partition:06d}-{number:04d}.qry"
+                _save(path, arrays, _QUERY_PARTS)
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([len(some)], pa.int64())], ["block", "queries"])
+                number += 1
+
+    # The planner packs small partitions of the grouping, so that blocks are mostly full.
+    schema = "block string, queries long"
+    weighted.mapInArrow(write, schema).write.parquet(f"{folder}/blocks")
+    return weighted.sparkSession.read.schema(schema).parquet(f"{folder}/blocks")
+
+
 def search_top_k(docs: DataFrame, is_query: Column, k: int = TOP, folder: str | None = None) -> DataFrame:
     """``query_id, rank, doc_id, score`` of the ``k`` best documents for every query row.
 
@@ -284,41 +316,41 @@ def search_top_k(docs: DataFrame, is_query: Column, k: int = TOP, folder: str |
         .agg(F.array_sort(F.collect_list(F.struct("term", idf.alias("idf")))).alias("words"))
         .select("query_id", F.col("words.term").alias("terms"), F.col("words.idf").alias("idf"))
     )
-    weighted.write.parquet(f"{folder}/queries")
-    weighted = spark.read.parquet(f"{folder}/queries")
-    blocks = max(1, -(-weighted.count() // QUERY_BLOCK))
+    blocks = _write_queries(weighted, folder)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by shard, so that each is loaded once per task."""
         loaded, shard = None, None
         for batch in batches:
-            out: tuple[list, list, list] = ([], [], [])
-            for path, query, terms, idf in zip(*(batch.column(i) for i in range(4)), strict=True):
-                if path.as_py() != loaded:
-                    loaded, shard = path.as_py(), None  # let go of the last one first
-                    with open_input(loaded) as stream:
-                        shard = Shard(_load(stream), average)
-                ids, scores = shard.search(
-                    query.as_py(), terms.values.to_numpy(zero_copy_only=False), idf.values.to_numpy(zero_copy_only=False), k
-                )
-                out[0].append(np.full(len(ids), query.as_py()))
-                out[1].append(ids)
-                out[2].append(scores)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["query_id", "doc_id", "score"])
-
-    # The stated query set meets every shard, dealt in blocks of queries.
+            for path, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if path != loaded:
+                    loaded, shard = path, None  # let go of the last one first
+                    shard = Shard(_load(path), average)
+                asked = _load(block, _QUERY_PARTS)
+                out: tuple[list, list, list] = ([], [], [])
+                for query, a, b in zip(asked["ids"].tolist(), asked["bounds"], asked["bounds"][1:], strict=False):
+                    ids, scores = shard.search(query, asked["terms"][a:b], asked["idf"][a:b], k)
+                    out[0].append(np.full(len(ids), query))
+                    out[1].append(ids)
+                    out[2].append(scores)
+                columns = [pa.array(np.concatenate(c)) for c in out] if out[0] else [pa.array([], pa.int64())] * 2 + [pa.array([], pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, ["query_id", "doc_id", "score"])
+
+    # Every shard meets every block of the stated query set; only their paths are shuffled.
     numbered = files.select("path", (F.row_number().over(Window.orderBy("path")) - 1).alias("shard"))
     shards = files.count()
     tasks = (
-        weighted.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(shards, 1) - 1))))
+        blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(shards, 1) - 1))))
         .join(numbered, "shard")
-        .withColumn("block", F.pmod(F.hash("query_id"), F.lit(blocks)))
-        .repartition("path", "block")
+        .select("path", "block")
+    )
+    groups = max(1, -(-(blocks.agg(F.sum("queries")).first()[0] or 0) // QUERY_BLOCK))
+    number = min(max(1, shards) * groups, MOST_TASKS)
+    found = (
+        tasks.repartition(number, "path", F.pmod(F.hash("block"), F.lit(groups)))
         .sortWithinPartitions("path")
-        .select("path", "query_id", "terms", "idf")
+        .mapInArrow(search, "query_id long, doc_id long, score double")
     )
-    found = tasks.mapInArrow(search, "query_id long, doc_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return (
         found.groupBy("query_id", "doc_id")
