@@ -9,10 +9,15 @@ from threadloom.functions.context import build_prompt, context_relevance
 
 OUTPUT = "conv_id long, turn long, message string, history string, closed boolean"
 STATE = "lines array<string>"
+# A conversation that has been silent for so long is over, with or without a closing word.
+IDLE_MS = 24 * 60 * 60 * 1000
 
 
 def _advance(key, batches, state: GroupState):
     """Replay one conversation's new turns in order and keep its last lines."""
+    if state.hasTimedOut:
+        state.remove()
+        return
     # Arrival order inside a trigger is arbitrary; the trigger size bounds this frame.
     turns = pd.concat(list(batches), ignore_index=True).sort_values("turn", kind="stable")
     lines = list(state.get[0]) if state.exists else []
@@ -31,6 +36,7 @@ def _advance(key, batches, state: GroupState):
             lines = [*lines, f"Support: {text}"][-HISTORY_LINES:]
     if lines:
         state.update((lines,))
+        state.setTimeoutDuration(IDLE_MS)
     elif state.exists:
         state.remove()
     yield pd.DataFrame(out, columns=["conv_id", "turn", "message", "history", "closed"])
@@ -39,15 +45,15 @@ def _advance(key, batches, state: GroupState):
 def stream_chat_turns(turns: DataFrame, retrieve=None) -> DataFrame:
     """History and prompt per customer message of an unbounded turn stream.
 
-    The state of a conversation is its last lines; a closing word ends the
-    session and frees it. ``retrieve`` maps the message stream to one with a
+    The state of a conversation is its last lines; a closing word, or a day without
+    a turn, ends the session and frees it. ``retrieve`` maps the message stream to one with a
     ``contexts`` column (for example a join with static knowledge-base rows).
     """
     talk = turns.where(F.col("role").isin("user", "assistant")).select(
         "conv_id", "turn", "role", "text"
     )
     messages = talk.groupBy("conv_id").applyInPandasWithState(
-        _advance, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
+        _advance, OUTPUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
     )
     if retrieve is None:
         messages = messages.withColumn("contexts", F.array().cast("array<string>"))
