@@ -280,3 +280,27 @@ def test_similarity_probe_moves_no_rows(spark):
     assert retrieval._collect_if_small(asked, 49) is None
     assert len(retrieval._collect_if_small(asked, 50).ids) == 50
     assert retrieval._collect_if_small(asked.limit(0), 50) is None
+
+
+@pytest.mark.parametrize("block", [3, 10_000])
+def test_closing_word_starts_a_new_session(spark, block):
+    rng = random.Random(5)
+    talk = []
+    for conv in range(6):
+        for turn in range(12):
+            role = "user" if turn % 2 == 0 else "assistant"
+            closes = role == "user" and rng.random() < 0.3
+            talk.append((conv, turn, role, " Bye " if closes else f"t{turn}"))
+    wanted, lines = {}, {}
+    for conv, turn, role, text in talk:
+        kept = lines.setdefault(conv, [])
+        if role == "user" and text.strip().lower() == "bye":
+            kept.clear()
+            wanted[conv, turn] = ""
+            continue
+        kept.append(("Customer: " if role == "user" else "Support: ") + text)
+        if role == "user":
+            wanted[conv, turn] = "\n".join(kept[-6:])
+    turns = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")
+    got = history.history_window(turns, block=block).collect()
+    assert {(r["conv_id"], r["turn"]): r["history"] for r in got} == wanted

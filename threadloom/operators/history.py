@@ -2,9 +2,12 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from threadloom.constants import HISTORY_LINES
+from threadloom.constants import CLOSING_WORDS, HISTORY_LINES
+from threadloom.functions.text import strip_ws
 
 TURNS_PER_BLOCK = 10_000
+# Stands for a closing message; no line holds this character.
+SESSION_END = "\0"
 
 
 def dialogue_line(role: Column, text: Column) -> Column:
@@ -12,6 +15,18 @@ def dialogue_line(role: Column, text: Column) -> Column:
     return F.concat(speaker, F.coalesce(text, F.lit("")))
 
 
+def _line(role: Column, text: Column) -> Column:
+    closing = (role == "user") & F.lower(strip_ws(F.coalesce(text, F.lit("")))).isin(*CLOSING_WORDS)
+    return F.when(closing, F.lit(SESSION_END)).otherwise(
+        F.replace(dialogue_line(role, text), F.lit(SESSION_END), F.lit(""))
+    )
+
+
+def _since_end(lines: Column) -> Column:
+    """The lines after the last closing message, joined."""
+    return F.regexp_replace(F.substring_index(F.array_join(lines, "\n"), SESSION_END, -1), r"\A\n", "")
+
+
 def history_window(
     turns: DataFrame,
     lines: int = HISTORY_LINES,
@@ -21,6 +36,9 @@ def history_window(
 ) -> DataFrame:
     """Last ``lines`` dialogue lines up to each customer turn.
 
+    A closing word of the customer ends the session: it has no history itself, and what follows
+    sees no line before it.
+
     A conversation is cut into blocks of ``block`` turn numbers that are windowed
     independently, so one conversation holding a third of all turns spreads over
     many tasks. Conversations of more than one block carry the last lines of the
@@ -33,7 +51,7 @@ def history_window(
         F.floor(F.col(turn_col) / block).alias("_block"),
         "role",
         "text",
-        dialogue_line(F.col("role"), F.col("text")).alias("_line"),
+        _line(F.col("role"), F.col("text")).alias("_line"),
     )
     before = lines - 1
     in_block = Window.partitionBy(conv_col, "_block").orderBy(turn_col)
@@ -49,8 +67,8 @@ def history_window(
             conv_col,
             turn_col,
             F.col("text").alias("message"),
-            F.array_join(
-                F.slice("_both", F.greatest(F.size("_both") - before, F.lit(1)), F.lit(lines)), "\n"
+            _since_end(
+                F.slice("_both", F.greatest(F.size("_both") - before, F.lit(1)), F.lit(lines))
             ).alias("history"),
         )
     )
