@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -111,3 +112,35 @@ def test_near_copies_are_caught_and_others_kept(spark, prose):
 def test_the_zero_hash_bit_is_a_strict_majority():
     one, two = xxhash.xxh64_intdigest(b"a b c", 42), xxhash.xxh64_intdigest(b"b c d", 42)
     assert plain_fingerprint("a b c d", 3) == one & two
+
+
+def shingle_set(text: str, k: int = 5) -> frozenset[str]:
+    words = text.lower().split()
+    return frozenset(" ".join(words[i : i + k]) for i in range(max(len(words) - k + 1, 1)))
+
+
+def exact_keepers(rows) -> list[int]:
+    """The smallest id of every group linked by exact Jaccard similarity or fingerprints, over all pairs."""
+    sets, prints = {i: shingle_set(t) for i, t in rows}, {i: plain_fingerprint(t, 5) for i, t in rows}
+    links = [
+        (a, b)
+        for a, b in itertools.combinations(sorted(sets), 2)
+        if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]) or (prints[a] ^ prints[b]).bit_count() <= 2
+    ]
+    return sorted(set(plain_components(links, sets).values()))
+
+
+def edited(words: list[str], places, tag: str) -> str:
+    return " ".join(f"{tag}x{i}" if i in places else w for i, w in enumerate(words))
+
+
+def test_links_are_exact_around_the_threshold(spark, prose):
+    # A run of c changed words at the end of n words leaves (n - 4 - c) / (n - 4 + c) of the shingles.
+    rows = []
+    for base in range(60):
+        words = prose(2000 + base, 104).split()
+        rows.append((base, " ".join(words)))
+        c = (10, 11, 12, 13)[base % 4]  # 0.82, 0.80, 0.79 and 0.77
+        rows.append((1000 + base, edited(words, range(104 - c, 104), f"b{base}")))
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == exact_keepers(rows)

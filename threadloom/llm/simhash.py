@@ -148,8 +148,11 @@ SIMILARITY = 0.8
 STAGE_SHINGLE_WORDS = 5
 MINIMA = 256
 BANDS, BAND_MINIMA = 20, 5
-# A share of 256 minima has a standard deviation of 0.025 at 0.8; so much below still counts.
-TOLERANCE = 0.02
+# Minima only choose which links of a band are worth the exact comparison. A share of 256 minima has a
+# standard deviation of 0.025 at 0.8.
+LOOSE = 0.1
+EXACT = 1e-9  # more than rounding can move a share
+BROADCAST_NODES = 1_000_000
 
 
 def _minima(hashes: np.ndarray) -> bytes | None:
@@ -165,20 +168,45 @@ def _minima(hashes: np.ndarray) -> bytes | None:
     return (least >> np.uint64(20)).astype("<u2").tobytes()
 
 
+def _shingle_set(text: bytes, shingle_words: int) -> np.ndarray:
+    return np.unique(_shingle_hashes(text, shingle_words))
+
+
+def _set_node(shingles: np.ndarray) -> int:
+    """The name of a set of shingles: texts with the same set are one node."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(shingles.astype("<u8").tobytes(), SEED)
+
+
 def _fingerprints_and_minima(shingle_words: int):
-    @F.arrow_udf("struct<fp: long, minima: binary>")
-    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("struct<node: long, fp: long, minima: binary>")
+    def all_three(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            fps, minima = [], []
+            nodes, fps, minima = [], [], []
             for texts in small_slices(batch):
                 for text in _byte_texts(texts):
                     hashes = _shingle_hashes(text, shingle_words)
                     fps.append(_fingerprint(hashes))
+                    hashes = np.unique(hashes)
+                    nodes.append(_set_node(hashes))
                     minima.append(_minima(hashes))
-            columns = [pa.array(np.asarray(fps, np.uint64).view(np.int64)), pa.array(minima, pa.binary())]
-            yield pa.StructArray.from_arrays(columns, ["fp", "minima"])
+            longs = [pa.array(np.asarray(c, np.uint64).view(np.int64)) for c in (nodes, fps)]
+            yield pa.StructArray.from_arrays([*longs, pa.array(minima, pa.binary())], ["node", "fp", "minima"])
+
+    return all_three
+
+
+def _shingle_sets(shingle_words: int):
+    @F.arrow_udf("binary")
+    def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = []
+            for texts in small_slices(batch):
+                out += [_shingle_set(t, shingle_words).astype("<u8").tobytes() for t in _byte_texts(texts)]
+            yield pa.array(out, pa.binary())
 
-    return both
+    return sets
 
 
 def _shared_minima(left: str, right: str) -> Column:
@@ -191,8 +219,45 @@ def _shared_minima(left: str, right: str) -> Column:
     return shared(left, right)
 
 
-def _similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: nodes and the smallest node of a band they share, verified on all minima.
+def _shared_shingles(left: str, right: str) -> Column:
+    """The exact Jaccard similarity of two sets of shingles."""
+
+    @F.arrow_udf("double")
+    def shared(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for columns in pairs:
+            out = []
+            for x, y in zip(*columns, strict=True):
+                a, b = (np.frombuffer(s.as_buffer(), "<u8") for s in (x, y))
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                out.append(both / max(len(a) + len(b) - both, 1))
+            yield pa.array(out, pa.float64())
+
+    return shared(left, right)
+
+
+def _verified(links: DataFrame, docs: DataFrame, nodes: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+    """The ``a, b`` of ``links`` whose whole sets of shingles are similar. Only the texts of linked nodes are read again."""
+    links = cut_lineage(links)
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = cut_lineage(nodes.join(ends, "node").select("node", "first.doc_id", "first._text"))
+    count = wanted.count()
+    if not count:
+        return links
+    if count <= BROADCAST_NODES:
+        wanted = F.broadcast(wanted.withColumnRenamed("doc_id", "_first"))
+    else:
+        wanted = wanted.withColumnRenamed("doc_id", "_first")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
+    chosen = texts.join(wanted, (F.col("_hash") == F.col("_text")) & F.col("doc_id").eqNullSafe(F.col("_first")))
+    sets = cut_lineage(chosen.select("node", _shingle_sets(shingle_words)("text").alias("shingles")).dropDuplicates(["node"]))
+    whole = links.join(sets.withColumnsRenamed({"node": "a", "shingles": "_sa"}), "a").join(
+        sets.withColumnsRenamed({"node": "b", "shingles": "_sb"}), "b"
+    )
+    return whole.where(_shared_shingles("_sa", "_sb") >= similarity - EXACT).select("a", "b")
+
+
+def _banded_links(nodes: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: nodes and the smallest node of a band they share, if their minima are not too different.
 
     A band's texts are linked to one of them instead of to each other, so links grow with the
     texts, not with the pairs of a group.
@@ -207,7 +272,7 @@ def _similar_links(nodes: DataFrame, similarity: float) -> DataFrame:
     whole = links.join(sketch.withColumnsRenamed({"node": "a", "minima": "_ma"}), "a").join(
         sketch.withColumnsRenamed({"node": "b", "minima": "_mb"}), "b"
     )
-    return whole.where(_shared_minima("_ma", "_mb") >= similarity - TOLERANCE).select("a", "b")
+    return whole.where(_shared_minima("_ma", "_mb") >= similarity - LOOSE).select("a", "b")
 
 
 def drop_near_duplicates(
@@ -219,29 +284,32 @@ def drop_near_duplicates(
     """One row of each group of linked documents, with all its columns.
 
     Documents link if their fingerprints are at most ``max_distance`` bits apart, or if they share
-    ``similarity`` of their different shingles, as estimated on ``MINIMA`` minima. The row with the smallest
+    ``similarity`` of their different shingles, compared exactly. The row with the smallest
     ``doc_id`` stays (a null id only if there is no other; of equal ids the smaller text hash). Null and
-    empty texts are one group. Texts are read twice and shuffled once, after the choice.
+    empty texts are one group.
     """
     key = [F.col("doc_id"), F.xxhash64("text")]
     marked = cut_lineage(
         docs.select(key[0], key[1].alias("_text"), _fingerprints_and_minima(shingle_words)("text").alias("_s"))
-        .select("doc_id", "_text", "_s.fp", "_s.minima")
-        .withColumn("node", F.xxhash64("fp", "minima"))
+        .select("doc_id", "_text", "_s.node", "_s.fp", "_s.minima")
     )
-    nodes = cut_lineage(marked.groupBy("node").agg(F.first("fp").alias("fp"), F.first("minima").alias("minima")))
-    heads = nodes.groupBy("fp").agg(F.min("node").alias("head"))
-    equal = nodes.join(heads, "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_text"))
+    nodes = cut_lineage(marked.groupBy("node").agg(first.alias("first"), F.first("minima").alias("minima")))
+    # Texts of one set that repeat its shingles differently have several fingerprints.
+    prints = cut_lineage(marked.select("fp", "node").distinct())
+    heads = prints.groupBy("fp").agg(F.min("node").alias("head"))
+    equal = prints.join(heads, "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     near = (
         near_pairs(heads, max_distance)
         .join(heads.select(F.col("fp").alias("a"), F.col("head").alias("_a")), "a")
         .join(heads.select(F.col("fp").alias("b"), F.col("head").alias("_b")), "b")
         .select(F.col("_a").alias("a"), F.col("_b").alias("b"))
     )
-    roots = components(equal.union(near).union(_similar_links(nodes, similarity)))
-    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_text"))
+    similar = _verified(_banded_links(nodes, similarity), docs, nodes, shingle_words, similarity)
+    roots = components(equal.union(near).union(similar))
+    best = F.min(F.struct(F.col("first.doc_id").isNull(), "first.doc_id", "first._text"))
     keepers = (
-        marked.join(roots, "node", "left")
+        nodes.join(roots, "node", "left")
         .groupBy(F.coalesce("root", "node").alias("root"))
         .agg(best.alias("_keep"))
         .select(F.col("_keep.doc_id").alias("_keep_id"), F.col("_keep._text").alias("_keep_text"))
