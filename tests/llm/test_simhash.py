@@ -144,3 +144,40 @@ def test_links_are_exact_around_the_threshold(spark, prose):
         rows.append((1000 + base, edited(words, range(104 - c, 104), f"b{base}")))
     kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id for r in kept.collect()) == exact_keepers(rows)
+
+
+@pytest.mark.parametrize("copies", [20, 2000])
+def test_edits_of_one_original_are_one_group(spark, prose, copies):
+    # Every copy is similar to the original; two copies mostly are not.
+    rng = random.Random(copies)
+    words = prose(77, 200).split()
+    rows = [(5, " ".join(words))]
+    while len(rows) <= copies:
+        copy = edited(words, rng.sample(range(200), 4), f"c{len(rows)}")
+        one, other = shingle_set(rows[0][1]), shingle_set(copy)
+        if 10 * len(one & other) >= 8 * len(one | other):
+            rows.append((len(rows) + 5, copy))
+    rows += [(100_000 + i, prose(3000 + i, 100)) for i in range(20)]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted(r.doc_id for r in kept.collect())
+    assert got == [5, *range(100_000, 100_020)]
+    if copies < 100:
+        assert got == exact_keepers(rows)
+
+
+@pytest.mark.parametrize("bands", [True, False])
+def test_groups_equal_those_of_all_pairs(spark, prose, monkeypatch, bands):
+    if not bands:  # the exact search alone finds every pair
+        monkeypatch.setattr(simhash, "_banded_links", lambda nodes, similarity: nodes.selectExpr("node as a", "node as b").where("false"))
+    rng = random.Random(9)
+    rows = []
+    for family in range(12):
+        words = prose(4000 + family, rng.choice([6, 12, 40, 90, 200])).split()
+        for _ in range(15):
+            change = rng.sample(range(len(words)), rng.randrange(1 + len(words) // 20))
+            rows.append((len(rows), edited(words, change, f"r{len(rows)}")))
+            if rng.random() < 0.2:
+                words = rows[-1][1].split() + prose(len(rows), 5).split()
+    rows += [(900, "one"), (901, "one"), (902, "a b c d e"), (903, "a b c d e f")]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == exact_keepers(rows)

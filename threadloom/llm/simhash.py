@@ -9,6 +9,7 @@ fingerprints are joined; copies share one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations_with_replacement, product
 
@@ -153,6 +154,9 @@ BANDS, BAND_MINIMA = 20, 5
 LOOSE = 0.1
 EXACT = 1e-9  # more than rounding can move a share
 BROADCAST_NODES = 1_000_000
+# How many texts show which shingles are common: an order of work only.
+SAMPLE_TEXTS, SAMPLE_SHARE = 8_192, 1 / 64
+MOST_COMMON = 500_000
 
 
 def _minima(hashes: np.ndarray) -> bytes | None:
@@ -257,17 +261,23 @@ def _verified(links: DataFrame, docs: DataFrame, nodes: DataFrame, shingle_words
 
 
 def _banded_links(nodes: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: nodes and the smallest node of a band they share, if their minima are not too different.
+    """``a, b``: nodes and one node of a band they share, if their minima are not too different.
 
     A band's texts are linked to one of them instead of to each other, so links grow with the
-    texts, not with the pairs of a group.
+    texts, not with the pairs of a group. The one is the node that meets most others in all of its
+    bands: the original of a group of edited copies meets more than a copy does.
     """
     keys = F.array(
         *[F.xxhash64(F.lit(i), F.substring("minima", 1 + 2 * BAND_MINIMA * i, 2 * BAND_MINIMA)) for i in range(BANDS)]
     )
     banded = nodes.where("minima is not null").select("node", F.explode(keys).alias("key"))
-    shared = banded.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    links = banded.join(shared, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowd = cut_lineage(banded.join(sizes, "key"))
+    met = crowd.groupBy("node").agg(F.sum("n").alias("met"))
+    # Of equally many the smallest node.
+    most = F.max(F.struct("met", F.bitwise_not("node").alias("not")))
+    shared = crowd.join(met, "node").groupBy("key").agg(F.bitwise_not(most["not"]).alias("b"))
+    links = crowd.join(shared, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     sketch = nodes.select("node", "minima")
     whole = links.join(sketch.withColumnsRenamed({"node": "a", "minima": "_ma"}), "a").join(
         sketch.withColumnsRenamed({"node": "b", "minima": "_mb"}), "b"
@@ -275,6 +285,102 @@ def _banded_links(nodes: DataFrame, similarity: float) -> DataFrame:
     return whole.where(_shared_minima("_ma", "_mb") >= similarity - LOOSE).select("a", "b")
 
 
+def _needed(sizes: Column, similarity: float) -> Column:
+    """Shingles that two similar sets of together ``sizes`` shingles have in common at least."""
+    return F.ceil(sizes * (similarity / (1 + similarity)) - EXACT)
+
+
+def _common_shingles(docs: DataFrame, shingle_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several texts of a sample have, ascending, and how many have them.
+
+    Only the order of shingles in ``_rare_shingles`` depends on them, no result does."""
+    total = docs.count()
+    share = max(SAMPLE_SHARE, SAMPLE_TEXTS / max(total, 1))
+    some = docs.select("text", F.xxhash64("text", F.lit(SEED)).alias("_order"))
+    if share < 1:
+        some = some.where(F.col("_order") < F.lit(int(-(2**63) + share * 2**64)).cast("long"))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in small_slices(batch.column(0)):
+                sets = [_shingle_set(t, shingle_words) for t in _byte_texts(texts)]
+                if sets:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["key"])
+
+    often = (
+        some.select("text")
+        .mapInArrow(spread, "key long")
+        .groupBy("key")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .orderBy(F.desc("n"), "key")
+        .limit(MOST_COMMON)
+        .toArrow()
+    )
+    keys = often["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], often["n"].to_numpy()[order]
+
+
+def _rare_shingles(docs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+    """``key, node, place, size``: the rarest shingles of every text in one order of all shingles.
+
+    Two sets of the wanted similarity share one of their first ``size - similarity * size + 1`` shingles in
+    any order that is the same for all texts; rarest first, few others share it.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_common_shingles(docs, shingle_words))
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, times = shared.value
+        for batch in batches:
+            for texts in small_slices(batch.column(0), 1 << 20):
+                keys, nodes, sizes = [], [], []
+                for text in _byte_texts(texts):
+                    shingles = _shingle_set(text, shingle_words)
+                    if not len(shingles):
+                        continue
+                    nodes.append(_set_node(shingles))
+                    sizes.append(len(shingles))
+                    if len(common):
+                        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+                        often = np.where(common[at] == shingles, times[at], 0)
+                        shingles = shingles[np.argsort(often, kind="stable")]
+                    least = math.ceil(len(shingles) * similarity - EXACT)
+                    keys.append(shingles[: len(shingles) - least + 1])
+                if not keys:
+                    continue
+                counts = [len(k) for k in keys]
+                columns = [
+                    pa.array(np.concatenate(keys).view(np.int64)),
+                    pa.array(np.repeat(np.asarray(nodes, np.uint64).view(np.int64), counts)),
+                    pa.array(np.concatenate([np.arange(c, dtype=np.int32) for c in counts])),
+                    pa.array(np.repeat(np.asarray(sizes, np.int32), counts)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "place", "size"])
+
+    return docs.select("text").mapInArrow(rare, "key long, node long, place int, size int")
+
+
+def _separate_pairs(docs: DataFrame, roots: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+    """``a, b``: every pair of nodes in different groups of ``roots`` that can still be similar.
+
+    An exact prefix filter: in a similar pair the first shared shingle has at least the needed
+    number of shingles from it on, in both sets. Pairs within a group change no group and are not made.
+    """
+    rows = cut_lineage(_rare_shingles(docs, shingle_words, similarity))
+    apart = (F.min("at") < F.max("at")).alias("apart")
+    several = rows.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("key")
+    placed = rows.join(several, "key").distinct().join(roots, "node", "left").withColumn("at", F.coalesce("root", "node"))
+    placed = cut_lineage(placed.select("key", "node", "place", "size", "at"))
+    mixed = placed.groupBy("key").agg(apart).where("apart").select("key")
+    held = cut_lineage(placed.join(mixed, "key"))
+    left, right = (held.select("key", *[F.col(c).alias(c + side) for c in ("node", "place", "size", "at")]) for side in "ab")
+    needed = _needed(F.col("sizea") + F.col("sizeb"), similarity)
+    possible = (F.col("sizea") - F.col("placea") >= needed) & (F.col("sizeb") - F.col("placeb") >= needed)
+    pairs = left.join(right, "key").where((F.col("ata") < F.col("atb")) & possible)
+    return pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct()
+
+
 def drop_near_duplicates(
     docs: DataFrame,
     shingle_words: int = STAGE_SHINGLE_WORDS,
@@ -306,7 +412,10 @@ def drop_near_duplicates(
         .select(F.col("_a").alias("a"), F.col("_b").alias("b"))
     )
     similar = _verified(_banded_links(nodes, similarity), docs, nodes, shingle_words, similarity)
-    roots = components(equal.union(near).union(similar))
+    links = cut_lineage(equal.union(near).union(similar))
+    # Those links only spare work: whatever they missed between the groups so far is searched exactly.
+    separate = _separate_pairs(docs, components(links), shingle_words, similarity)
+    roots = components(links.union(_verified(separate, docs, nodes, shingle_words, similarity)))
     best = F.min(F.struct(F.col("first.doc_id").isNull(), "first.doc_id", "first._text"))
     keepers = (
         nodes.join(roots, "node", "left")
