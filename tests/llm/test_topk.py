@@ -58,3 +58,22 @@ def test_many_shards_merge_to_the_same_rows(spark, monkeypatch):
     sf_dir = "/root/testdata/sf0.001"
     got = topk.search_top_k(spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(4), F.expr(FIRST))
     assert oracle.difference(got, oracle.connect(sf_dir), topk.oracle_sql()) is None
+
+
+def test_rows_repeated_more_than_k_times_leave_room(spark):
+    rows = [(0, "apple pear plum fig")] + [(1, "apple pear plum fig")] * 15 + [(2, "apple pear plum")] * 3
+    rows += [(i, "apple " + "kiwi " * i) for i in range(3, 18)] + [(100 + i, "nothing here") for i in range(1, 40)]
+    got = topk.search_top_k(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), F.expr("doc_id = 0"))
+    n, average = len(rows), sum(len(t.split()) for _, t in rows) / len(rows)
+    scores = {}
+    for i, text in rows[1:]:
+        words = text.split()
+        s = 0.0
+        for w in {"apple", "pear", "plum", "fig"} & set(words):
+            df, tf = sum(w in t.split() for _, t in rows), words.count(w)
+            s += np.log((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / average))
+        if s:
+            scores[i] = max(round(s, 9), scores.get(i, 0.0))
+    wanted = sorted((-s, i) for i, s in scores.items())[:10]
+    assert [r.doc_id for r in got.orderBy("rank").collect()] == [i for _, i in wanted]
+    assert len(wanted) == 10

@@ -167,13 +167,15 @@ class Shard:
         best: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0))
 
         def take(docs: np.ndarray, scores: np.ndarray) -> float:
-            """Merge scored documents into the best; returns the k-th score."""
+            """Merge scored documents into the best, each id once at its best score; returns the k-th score."""
             nonlocal best
             ids = np.concatenate((best[0], self.doc_ids[docs]))
             scores = np.concatenate((best[1], np.round(scores, DIGITS)))
             keep = (ids != query) & (scores > 0)
             ids, scores = ids[keep], scores[keep]
-            first = np.lexsort((ids, -scores))[:k]
+            order = np.lexsort((ids, -scores))
+            _, once = np.unique(ids[order], return_index=True)
+            first = order[np.sort(once)[:k]]
             best = ids[first], scores[first]
             return float(scores[first[-1]]) - MARGIN if len(first) == k else 0.0
 
