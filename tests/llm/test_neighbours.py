@@ -73,3 +73,15 @@ def test_split_parts_give_the_same_neighbours(spark, monkeypatch):
     whole = {tuple(r) for r in nb.nearest_neighbours(table, F.expr(FIRST)).collect()}
     monkeypatch.setattr(nb, "PART_ROWS", 40)
     assert {tuple(r) for r in nb.nearest_neighbours(table, F.expr(FIRST)).collect()} == whole
+
+
+def test_repeated_rows_leave_room_for_other_ids(spark):
+    same, near = [1.0, 2.0, 3.0], [1.0, 2.0, 3.25]
+    rows = [(1, same)] * 30 + [(i, same) for i in range(2, 6)] + [(10, same)] + [(6, near)] * 25 + [(7, near), (8, [1.0, 2.5, 3.0])]
+    rows += [(6, [9.0, 9.0, 9.0]), (9, [2.0, 2.0, 3.0]), (11, [1.0, 4.0, 3.0]), (12, [5.0, 4.0, 3.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.score, r.vec_id) for r in nb.nearest_neighbours(table, F.expr("vec_id = 10")).orderBy("rank").collect()]
+    wanted = {}
+    for d, i in brute(rows, 1000)[10]:
+        wanted.setdefault(i, d)
+    assert got == sorted((d, i) for i, d in wanted.items())[:10] and len(got) == 10

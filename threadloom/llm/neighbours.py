@@ -219,6 +219,7 @@ class _Part:
     def nearest(self, query: int, codes: np.ndarray, vector: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         if self.buckets is None:
             self.all_ids, self.all_vectors = np.concatenate(self.ids), np.concatenate(self.vectors)
+            self.repeats = len(np.unique(self.all_ids)) < len(self.all_ids)
             self.buckets, self.bucket_of = np.unique(np.concatenate(self.codes), return_inverse=True)
         at = np.minimum(np.searchsorted(self.buckets, codes), len(self.buckets) - 1)
         visited = np.full(len(self.buckets), not len(codes))  # no codes: every bucket
@@ -226,11 +227,16 @@ class _Part:
         rows = np.flatnonzero(visited[self.bucket_of] & (self.all_ids != query))
         apart = self.all_vectors[rows] - vector
         distance = np.sqrt(np.einsum("ij,ij->i", apart, apart))
-        if len(rows) > k:
+        ids = self.all_ids[rows]
+        if self.repeats:  # an id counts once, at its smallest distance
+            order = np.lexsort((distance, ids))
+            ids, once = np.unique(ids[order], return_index=True)
+            distance = distance[order][once]
+        if len(ids) > k:
             near = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
-            rows, distance = rows[near], distance[near]
-        order = np.lexsort((self.all_ids[rows], distance))[:k]
-        return self.all_ids[rows][order], distance[order]
+            ids, distance = ids[near], distance[near]
+        order = np.lexsort((ids, distance))[:k]
+        return ids[order], distance[order]
 
 
 def _search(k: int):
@@ -290,7 +296,8 @@ def nearest_neighbours(table: DataFrame, is_query: Column, k: int = NEAREST, see
     parts = -(-total // PART_ROWS)
 
     copies = Window.partitionBy(F.xxhash64("vec"), "vec").orderBy("vec_id")
-    kept = good.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k + 1).select("vec_id", "vec")
+    # Repeated rows are merged first, so that k + 1 counts different ids.
+    kept = good.distinct().withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k + 1).select("vec_id", "vec")
     index = _index_rows(kept, hashing, parts)
     probes = _query_rows(good.where(is_query), hashing, parts)
     crowded = (
