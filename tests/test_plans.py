@@ -1,5 +1,7 @@
 """What the physical plans must and must not contain."""
 
+from pathlib import Path
+
 from conftest import plan_of
 from pyspark.sql import functions as F
 
@@ -58,3 +60,18 @@ def test_answers_bind_their_intermediates(spark):
 
     plan = QUERIES["answer_route"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") <= 14 and plan.count("aggregate(") <= 6
+
+
+def test_answer_route_of_conversations_over_a_hundred_turns(spark, tmp_path):
+    # Turn 100 + t of one conversation is not turn t of the next.
+    source = Path("/root/testdata/sf0.001")
+    for path in source.glob("*.parquet"):
+        if path.stem != "conversations":
+            (tmp_path / path.name).symlink_to(path)
+    talk = spark.read.parquet(str(source / "conversations.parquet"))
+    later = F.when(F.col("conv_id") % 2 == 0, F.col("turn") + 100).otherwise(F.col("turn")).cast(talk.schema["turn"].dataType)
+    talk.withColumn("turn", later).write.parquet(str(tmp_path / "conversations.parquet"))
+    route = QUERIES["answer_route"]
+    short = sorted(tuple(r) for r in route(spark, str(source)).collect())
+    long = sorted((r.conv_id, r.turn % 100, r.route, r.answer) for r in route(spark, str(tmp_path)).collect())
+    assert long == short

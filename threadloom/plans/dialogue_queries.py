@@ -409,7 +409,8 @@ def answer_route_query(spark, d):
         cx.has_citation(F.col("response")),
         cx.grounding_check(F.col("response"), F.col("contexts")),
     )
-    item = F.col("conv_id") * 100 + F.col("turn")
+    # Conversations may have any number of turns.
+    item = F.concat(F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string"))
     valid = first_valid_attempt(_judged_attempts(spark, d, asked), ["conv_id", "turn"], accepted)
     tidy = valid.where(F.col("valid_response").isNotNull()).select(
         item.alias("item"), answers.normalize_response_v2(F.col("valid_response")).alias("text")
