@@ -304,3 +304,14 @@ def test_closing_word_starts_a_new_session(spark, block):
     turns = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")
     got = history.history_window(turns, block=block).collect()
     assert {(r["conv_id"], r["turn"]): r["history"] for r in got} == wanted
+
+
+def test_language_of_null_and_repeated_ids(spark, monkeypatch):
+    train = spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de")], "text string, lang string")
+    model = language.fit_language_profiles(train)
+    texts = [(None, "the dog"), (None, "die katze"), (1, "the cat and"), (1, "der hund und die"), (2, None), (2, "katze")]
+    rows = spark.createDataFrame(texts, "id long, text string")
+    wanted = sorted([("None", "en"), ("None", "de"), ("1", "en"), ("1", "de"), ("2", "None"), ("2", "de")])
+    for size in (language.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(language, "BROADCAST_BYTES", size)
+        assert sorted((str(r["id"]), str(r["language"])) for r in model.predict(rows, "id").collect()) == wanted

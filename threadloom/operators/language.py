@@ -50,7 +50,9 @@ class LanguageProfiles:
         A profile of checked size is held by every task, which counts the trigrams of a text
         on the spot. A larger one is joined to trigram counts per text.
         """
-        if self.gains.count() * ROW_BYTES <= BROADCAST_BYTES:
+        rows, grams = self.gains.agg(F.count(F.lit(1)), F.countDistinct("gram")).first()
+        # In place the profile is a full matrix of trigrams and languages.
+        if max(rows * ROW_BYTES, grams * self.unseen.count() * 8) <= BROADCAST_BYTES:
             return self._predict_in_place(texts, id_col, text_col)
         return self._predict_by_join(texts, id_col, text_col)
 
@@ -89,29 +91,31 @@ class LanguageProfiles:
     def _predict_by_join(self, texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """Languages that have a trigram of the text are scored, besides the one with the likeliest
         unseen trigram, which no other language without a hit can surpass."""
-        pieces = texts.select(id_col, F.explode(trigrams(F.col(text_col))).alias("gram"))
-        counted = pieces.groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("n"))
-        totals = counted.groupBy(id_col).agg(F.sum("n").alias("total"))
+        # Every row is a text of its own, also those of null and repeated ids.
+        keyed = cut_lineage(texts.select(id_col, text_col).withColumn("_row", F.monotonically_increasing_id()))
+        pieces = keyed.select("_row", F.explode(trigrams(F.col(text_col))).alias("gram"))
+        counted = pieces.groupBy("_row", "gram").agg(F.count(F.lit(1)).alias("n"))
+        totals = counted.groupBy("_row").agg(F.sum("n").alias("total"))
         hits = (
             counted.join(self.gains, "gram")
-            .groupBy(id_col, "lang")
+            .groupBy("_row", "lang")
             .agg(F.sum(F.col("n") * F.col("gain")).alias("gain"))
         )
         likeliest = self.unseen.agg(F.max(F.struct("unseen", "lang"))["lang"].alias("lang"))
         others = totals.select(
-            id_col, likeliest.scalar().alias("lang"), F.lit(0.0).alias("gain")
+            "_row", likeliest.scalar().alias("lang"), F.lit(0.0).alias("gain")
         )
         score = F.round(F.col("gain") + F.col("total") * F.col("unseen"), SCORE_DIGITS)
         best = (
             hits.unionByName(others)
-            .groupBy(id_col, "lang")
+            .groupBy("_row", "lang")
             .agg(F.sum("gain").alias("gain"))
             .join(self.unseen, "lang")
-            .join(totals, id_col)
-            .groupBy(id_col)
+            .join(totals, "_row")
+            .groupBy("_row")
             .agg(F.max(F.struct(score.alias("score"), "lang"))["lang"].alias("language"))
         )
-        return texts.select(id_col).join(best, id_col, "left")
+        return keyed.join(best, "_row", "left").select(id_col, "language")
 
 
 def fit_language_profiles(
