@@ -1,11 +1,14 @@
 """Time the headline queries and print one JSON line.
 
 Environment: ``BENCH_SF_DIR`` (tables), ``BENCH_CPUS`` (local cores),
-``BENCH_RUNS`` (timed runs per query, the median counts).
+``BENCH_RUNS`` (timed runs per query, the median counts), ``BENCH_LIMIT`` (seconds that a
+query's runs may take together; a query beyond it is stopped and has no number).
+Progress goes to stderr after each query.
 """
 
 import json
 import os
+import signal
 import statistics
 import sys
 import time
@@ -44,10 +47,16 @@ HEADLINE = [
 ]
 
 
+def stop_query(number, frame):
+    raise TimeoutError
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
+    limit = int(os.environ.get("BENCH_LIMIT", "120"))
+    signal.signal(signal.SIGALRM, stop_query)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("threadloom-bench")
@@ -64,20 +73,30 @@ def main() -> None:
 
     from threadloom.plans.catalog import QUERIES
 
-    seconds = {}
+    seconds: dict[str, float | None] = {}
     for name in HEADLINE:
         times = []
-        for _ in range(runs + 1):
-            start = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times.append(time.perf_counter() - start)
-        seconds[name] = round(statistics.median(times[1:]), 3)  # the first run warms up
+        signal.alarm(limit)
+        try:
+            for _ in range(runs + 1):
+                start = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                times.append(time.perf_counter() - start)
+        except TimeoutError:
+            for stream in spark.streams.active:
+                stream.stop()
+            spark.sparkContext.cancelAllJobs()
+        finally:
+            signal.alarm(0)
+        measured = times[1:] or times  # the first run warms up
+        seconds[name] = round(statistics.median(measured), 3) if measured else None
+        print(f"{name}: {seconds[name]} s", file=sys.stderr, flush=True)
     spark.stop()
     print(
         json.dumps(
             {
                 "metric": "headline_queries_total",
-                "value": round(sum(seconds.values()), 3),
+                "value": round(sum(s for s in seconds.values() if s is not None), 3),
                 "unit": "sec",
                 "queries": seconds,
                 "sf": Path(sf_dir).name,

@@ -177,6 +177,32 @@ def test_chat_stream_closing_and_retrieval(spark, tmp_path):
     assert got[3]["history"] == "Customer: again"
 
 
+def test_idle_sessions_leave_the_state(spark, tmp_path):
+    """A session that the watermark has passed is forgotten; a later turn of its key starts anew."""
+    import os
+
+    day = 86_400
+    schema = "conv_id long, turn long, role string, text string, ts timestamp"
+    folder = tmp_path / "in"
+    folder.mkdir()
+    steps = [[(c, 0, "user", f"hello {c}", 10 * day) for c in range(20)], [(50, 0, "user", "later", 14 * day)], [(51, 0, "user", "last", 18 * day)], [(3, 9, "user", "again", 18 * day)]]
+    for i, rows in enumerate(steps):
+        frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, s long")
+        frame.selectExpr("conv_id", "turn", "role", "text", "timestamp_seconds(s) AS ts").toPandas().to_parquet(folder / f"{i}.parquet", index=False, coerce_timestamps="us")
+        os.utime(folder / f"{i}.parquet", (1_000_000 + i, 1_000_000 + i))
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    query = (
+        stream_chat_turns(source, event_time="ts", idle="1 day").writeStream.format("parquet")
+        .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "progress"))
+        .trigger(availableNow=True).start()
+    )
+    assert query.awaitTermination(300)
+    kept = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert max(kept) >= 20 and kept[-1] <= 3
+    got = {(r["conv_id"], r["turn"]): r["history"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert len(got) == 23 and got[3, 9] == "Customer: again"
+
+
 def test_pair_stream_equals_batch(spark, turn_files):
     def view(df):
         conv, turn = F.col("conv_id"), F.col("turn")

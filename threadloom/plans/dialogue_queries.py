@@ -13,6 +13,7 @@ from threadloom.constants import (
     ANSWER_UNCLEAR,
     CITE_MARK,
     CITE_TAIL,
+    CLOSING_WORDS,
     OPEN_PROMPT,
     RULES_PROMPT,
     SHIPPING_LEAD,
@@ -58,12 +59,18 @@ from threadloom.streaming.pairing import stream_pair_replies
 from threadloom.streaming.runs import run_available
 
 # --- history ---------------------------------------------------------------------
-HISTORY_SQL = """history AS (
+# A closing word has no history and ends the session; a session's lines are those between two of them.
+HISTORY_SQL = f"""spoken AS (
+  SELECT *, role = 'user' AND lower(trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13))) IN ({", ".join(map(q, CLOSING_WORDS))}) AS closing
+  FROM conversations WHERE role IN ('user', 'assistant')),
+sessions AS (
+  SELECT *, count(*) FILTER (closing) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS session FROM spoken),
+history AS (
   SELECT * FROM (
-    SELECT conv_id, turn, role, text AS message, string_agg(
-        concat(CASE WHEN role = 'user' THEN 'Customer: ' ELSE 'Support: ' END, text), chr(10))
-      OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS history
-    FROM conversations WHERE role <> 'system')
+    SELECT conv_id, turn, role, closing, text AS message, coalesce(string_agg(
+        CASE WHEN NOT closing THEN concat(CASE WHEN role = 'user' THEN 'Customer: ' ELSE 'Support: ' END, text) END, chr(10))
+      OVER (PARTITION BY conv_id, session ORDER BY turn ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), '') AS history
+    FROM sessions)
   WHERE role = 'user')"""
 
 
@@ -530,10 +537,13 @@ def stream_table(spark, d, name: str):
 @register(
     "stream_chat_turns",
     f"""WITH {HISTORY_SQL} SELECT conv_id, turn, history,
-        concat({q(OPEN_PROMPT)}, history, chr(10), 'Customer: ', message, chr(10), 'Support:') AS prompt FROM history""",
+        CASE WHEN NOT closing THEN concat({q(OPEN_PROMPT)}, history, chr(10), 'Customer: ', message, chr(10), 'Support:') END AS prompt
+    FROM history""",
 )
 def stream_chat_turns_query(spark, d):
-    chat = stream_chat_turns(stream_table(spark, d, "conversations"))
+    turns = stream_table(spark, d, "conversations")
+    turns = turns.withColumn("ts", F.timestamp_seconds(F.col("turn") * 60 + STREAM_START))
+    chat = stream_chat_turns(turns, event_time="ts")
     return run_available(chat, "chat").select("conv_id", "turn", "history", "prompt")
 
 
