@@ -9,7 +9,6 @@ fingerprints are joined; copies share one.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations_with_replacement, product
 
@@ -22,11 +21,10 @@ from threadloom.llm.components import components
 from threadloom.sources.stages import cut_lineage
 
 BITS = 64
-SEGMENTS = 8
+SEGMENTS = 8  # 16 give about a thousandth of the candidates for four times the probes
 SEED = 42
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
-_CELL_BITS = 4  # a segment of 8 bits has 0 to 8 of them set
 
 
 def _shingle_hashes(text: bytes, shingle_words: int) -> np.ndarray:
@@ -76,37 +74,42 @@ def fingerprint_column(text: str | Column, shingle_words: int = SHINGLE_WORDS) -
     return fingerprint(text)
 
 
-def _cell(fingerprint: str) -> Column:
-    """Bit counts of the segments, four bits each, in one long."""
-    width = BITS // SEGMENTS
+def _cell_bits(segments: int) -> int:
+    """Bits for a segment's count, one more than its largest, and a borrow."""
+    return (BITS // segments + 1).bit_length()
+
+
+def _cell(fingerprint: str, segments: int) -> Column:
+    """Bit counts of the segments, a few bits each, in one long."""
+    width, bits = BITS // segments, _cell_bits(segments)
     cell = F.lit(0).cast("long")
-    for i in range(SEGMENTS):
+    for i in range(segments):
         ones = F.bit_count(F.shiftrightunsigned(fingerprint, width * i).bitwiseAND(F.lit((1 << width) - 1))).cast("long")
-        cell = cell + F.shiftleft(ones, _CELL_BITS * i)
+        cell = cell + F.shiftleft(ones, bits * i)
     return cell
 
 
-def _offsets(radius: int) -> list[int]:
+def _offsets(radius: int, segments: int) -> list[int]:
     """Code differences of the cells within Manhattan ``radius``, one of each opposite pair.
 
-    An impossible count (below 0 or above 8) borrows or stays within its four bits and so
+    An impossible count (below 0 or above a segment's width) borrows or stays within its bits and so
     never equals a real cell's code.
     """
-    steps = set()
-    for axes in combinations_with_replacement(range(SEGMENTS), radius):
+    bits, steps = _cell_bits(segments), set()
+    for axes in combinations_with_replacement(range(segments), radius):
         for signs in product((-1, 0, 1), repeat=radius):
-            step = [0] * SEGMENTS
+            step = [0] * segments
             for axis, sign in zip(axes, signs, strict=True):
                 step[axis] += sign
-            if tuple(step) >= (0,) * SEGMENTS:
+            if tuple(step) >= (0,) * segments:
                 steps.add(tuple(step))
-    return [sum(s << (_CELL_BITS * i) for i, s in enumerate(step)) for step in sorted(steps)]
+    return [sum(s << (bits * i) for i, s in enumerate(step)) for step in sorted(steps)]
 
 
-def near_pairs(fingerprints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
+def near_pairs(fingerprints: DataFrame, max_distance: int = MAX_DISTANCE, segments: int = SEGMENTS) -> DataFrame:
     """``a, b``: all pairs of the distinct, non-null ``fp`` values at most ``max_distance`` bits apart."""
-    points = fingerprints.select("fp").withColumn("cell", _cell("fp"))
-    offsets = F.array(*[F.lit(o).cast("long") for o in _offsets(max_distance)])
+    points = fingerprints.select("fp").withColumn("cell", _cell("fp", segments))
+    offsets = F.array(*[F.lit(o).cast("long") for o in _offsets(max_distance, segments)])
     probes = points.select(F.col("fp").alias("a"), "cell", F.explode(offsets).alias("step")).select(
         "a", (F.col("cell") + F.col("step")).alias("cell"), (F.col("step") == 0).alias("same")
     )
@@ -115,17 +118,18 @@ def near_pairs(fingerprints: DataFrame, max_distance: int = MAX_DISTANCE) -> Dat
     return probes.join(points.withColumnRenamed("fp", "b"), "cell").where(near & once).select("a", "b")
 
 
-def _classes(marked: DataFrame, max_distance: int) -> DataFrame:
-    """``fp, component_id`` for every different fingerprint of ``marked(doc_id, fp)``."""
-    distinct = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(near_pairs(distinct, max_distance)).withColumnRenamed("node", "fp")
+def _classes(marked: DataFrame, first: Column, max_distance: int, segments: int) -> DataFrame:
+    """``fp, root, first``: the class of every different fingerprint of ``marked``, and the
+    least ``first`` of a class's rows."""
+    distinct = cut_lineage(marked.groupBy("fp").agg(F.min(first).alias("first")))
+    roots = components(near_pairs(distinct, max_distance, segments)).withColumnRenamed("node", "fp")
     placed = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    return placed.join(smallest, "root").select("fp", "component_id")
+    least = placed.groupBy("root").agg(F.min("first").alias("first"))
+    return placed.select("fp", "root").join(least, "root")
 
 
 def near_duplicates(
-    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE, segments: int = SEGMENTS
 ) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs``.
 
@@ -135,294 +139,26 @@ def near_duplicates(
     are returned each; an empty table gives no rows; other columns are not read.
     """
     marked = cut_lineage(docs.select("doc_id", fingerprint_column("text", shingle_words).alias("fp")))
+    classes = _classes(marked, F.col("doc_id"), max_distance, segments)
     # One row per different fingerprint on the right; a hot fingerprint is a skewed left side.
-    return marked.join(_classes(marked, max_distance), "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
-
-
-# --- similar texts beyond the radius of the grid ------------------------------
-# Texts that share 0.8 of their shingles have fingerprints 4 to 14 bits apart. Within such a radius
-# bit counts exclude next to nothing, so the candidates of the similarity stage also come from bands of
-# minima over the same shingle hashes.
-SIMILARITY = 0.8
-STAGE_SHINGLE_WORDS = 5
-MINIMA = 256
-BANDS, BAND_MINIMA = 20, 5
-# Minima only choose which links of a band are worth the exact comparison. A share of 256 minima has a
-# standard deviation of 0.025 at 0.8.
-LOOSE = 0.1
-EXACT = 1e-9  # more than rounding can move a share
-BROADCAST_NODES = 1_000_000
-# How many texts show which shingles are common: an order of work only.
-SAMPLE_TEXTS, SAMPLE_SHARE = 8_192, 1 / 64
-MOST_COMMON = 500_000
-
-
-def _minima(hashes: np.ndarray) -> bytes | None:
-    """Sixteen bits each of the minima of ``MINIMA`` random orders of the different hashes."""
-    if not len(hashes):
-        return None
-    rng = np.random.default_rng(SEED)
-    factor = rng.integers(1, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    shift = rng.integers(0, 2**63, MINIMA, dtype=np.uint64)
-    least = np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
-    for part in np.array_split(hashes, -(-len(hashes) // 1_024)):
-        np.minimum(least, (part[:, None] * factor + shift).min(axis=0), out=least)
-    return (least >> np.uint64(20)).astype("<u2").tobytes()
-
-
-def _shingle_set(text: bytes, shingle_words: int) -> np.ndarray:
-    return np.unique(_shingle_hashes(text, shingle_words))
-
-
-def _set_node(shingles: np.ndarray) -> int:
-    """The name of a set of shingles: texts with the same set are one node."""
-    import xxhash
-
-    return xxhash.xxh64_intdigest(shingles.astype("<u8").tobytes(), SEED)
-
-
-def _fingerprints_and_minima(shingle_words: int):
-    @F.arrow_udf("struct<node: long, fp: long, minima: binary>")
-    def all_three(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            nodes, fps, minima = [], [], []
-            for texts in small_slices(batch):
-                for text in _byte_texts(texts):
-                    hashes = _shingle_hashes(text, shingle_words)
-                    fps.append(_fingerprint(hashes))
-                    hashes = np.unique(hashes)
-                    nodes.append(_set_node(hashes))
-                    minima.append(_minima(hashes))
-            longs = [pa.array(np.asarray(c, np.uint64).view(np.int64)) for c in (nodes, fps)]
-            yield pa.StructArray.from_arrays([*longs, pa.array(minima, pa.binary())], ["node", "fp", "minima"])
-
-    return all_three
-
-
-def _shingle_sets(shingle_words: int):
-    @F.arrow_udf("binary")
-    def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            out = []
-            for texts in small_slices(batch):
-                out += [_shingle_set(t, shingle_words).astype("<u8").tobytes() for t in _byte_texts(texts)]
-            yield pa.array(out, pa.binary())
-
-    return sets
-
-
-def _shared_minima(left: str, right: str) -> Column:
-    @F.arrow_udf("double")
-    def shared(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for columns in pairs:
-            a, b = (np.frombuffer(b"".join(x.to_pylist()), "<u2").reshape(-1, MINIMA) for x in columns)
-            yield pa.array((a == b).mean(axis=1), pa.float64())
-
-    return shared(left, right)
-
-
-def _shared_shingles(left: str, right: str) -> Column:
-    """The exact Jaccard similarity of two sets of shingles."""
-
-    @F.arrow_udf("double")
-    def shared(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for columns in pairs:
-            out = []
-            for x, y in zip(*columns, strict=True):
-                a, b = (np.frombuffer(s.as_buffer(), "<u8") for s in (x, y))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                out.append(both / max(len(a) + len(b) - both, 1))
-            yield pa.array(out, pa.float64())
-
-    return shared(left, right)
-
-
-def _verified(links: DataFrame, docs: DataFrame, nodes: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
-    """The ``a, b`` of ``links`` whose whole sets of shingles are similar. Only the texts of linked nodes are read again."""
-    links = cut_lineage(links)
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = cut_lineage(nodes.join(ends, "node").select("node", "first.doc_id", "first._text"))
-    count = wanted.count()
-    if not count:
-        return links
-    if count <= BROADCAST_NODES:
-        wanted = F.broadcast(wanted.withColumnRenamed("doc_id", "_first"))
-    else:
-        wanted = wanted.withColumnRenamed("doc_id", "_first")
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
-    chosen = texts.join(wanted, (F.col("_hash") == F.col("_text")) & F.col("doc_id").eqNullSafe(F.col("_first")))
-    sets = cut_lineage(chosen.select("node", _shingle_sets(shingle_words)("text").alias("shingles")).dropDuplicates(["node"]))
-    whole = links.join(sets.withColumnsRenamed({"node": "a", "shingles": "_sa"}), "a").join(
-        sets.withColumnsRenamed({"node": "b", "shingles": "_sb"}), "b"
+    return marked.join(classes, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id")
     )
-    return whole.where(_shared_shingles("_sa", "_sb") >= similarity - EXACT).select("a", "b")
-
-
-def _banded_links(nodes: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: nodes and one node of a band they share, if their minima are not too different.
-
-    A band's texts are linked to one of them instead of to each other, so links grow with the
-    texts, not with the pairs of a group. The one is the node that meets most others in all of its
-    bands: the original of a group of edited copies meets more than a copy does.
-    """
-    keys = F.array(
-        *[F.xxhash64(F.lit(i), F.substring("minima", 1 + 2 * BAND_MINIMA * i, 2 * BAND_MINIMA)) for i in range(BANDS)]
-    )
-    banded = nodes.where("minima is not null").select("node", F.explode(keys).alias("key"))
-    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    crowd = cut_lineage(banded.join(sizes, "key"))
-    met = crowd.groupBy("node").agg(F.sum("n").alias("met"))
-    # Of equally many the smallest node.
-    most = F.max(F.struct("met", F.bitwise_not("node").alias("not")))
-    shared = crowd.join(met, "node").groupBy("key").agg(F.bitwise_not(most["not"]).alias("b"))
-    links = crowd.join(shared, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    sketch = nodes.select("node", "minima")
-    whole = links.join(sketch.withColumnsRenamed({"node": "a", "minima": "_ma"}), "a").join(
-        sketch.withColumnsRenamed({"node": "b", "minima": "_mb"}), "b"
-    )
-    return whole.where(_shared_minima("_ma", "_mb") >= similarity - LOOSE).select("a", "b")
-
-
-def _needed(sizes: Column, similarity: float) -> Column:
-    """Shingles that two similar sets of together ``sizes`` shingles have in common at least."""
-    return F.ceil(sizes * (similarity / (1 + similarity)) - EXACT)
-
-
-def _common_shingles(docs: DataFrame, shingle_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several texts of a sample have, ascending, and how many have them.
-
-    Only the order of shingles in ``_rare_shingles`` depends on them, no result does."""
-    total = docs.count()
-    share = max(SAMPLE_SHARE, SAMPLE_TEXTS / max(total, 1))
-    some = docs.select("text", F.xxhash64("text", F.lit(SEED)).alias("_order"))
-    if share < 1:
-        some = some.where(F.col("_order") < F.lit(int(-(2**63) + share * 2**64)).cast("long"))
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for texts in small_slices(batch.column(0)):
-                sets = [_shingle_set(t, shingle_words) for t in _byte_texts(texts)]
-                if sets:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["key"])
-
-    often = (
-        some.select("text")
-        .mapInArrow(spread, "key long")
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .orderBy(F.desc("n"), "key")
-        .limit(MOST_COMMON)
-        .toArrow()
-    )
-    keys = often["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], often["n"].to_numpy()[order]
-
-
-def _rare_shingles(docs: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
-    """``key, node, place, size``: the rarest shingles of every text in one order of all shingles.
-
-    Two sets of the wanted similarity share one of their first ``size - similarity * size + 1`` shingles in
-    any order that is the same for all texts; rarest first, few others share it.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(_common_shingles(docs, shingle_words))
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, times = shared.value
-        for batch in batches:
-            for texts in small_slices(batch.column(0), 1 << 20):
-                keys, nodes, sizes = [], [], []
-                for text in _byte_texts(texts):
-                    shingles = _shingle_set(text, shingle_words)
-                    if not len(shingles):
-                        continue
-                    nodes.append(_set_node(shingles))
-                    sizes.append(len(shingles))
-                    if len(common):
-                        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-                        often = np.where(common[at] == shingles, times[at], 0)
-                        shingles = shingles[np.argsort(often, kind="stable")]
-                    least = math.ceil(len(shingles) * similarity - EXACT)
-                    keys.append(shingles[: len(shingles) - least + 1])
-                if not keys:
-                    continue
-                counts = [len(k) for k in keys]
-                columns = [
-                    pa.array(np.concatenate(keys).view(np.int64)),
-                    pa.array(np.repeat(np.asarray(nodes, np.uint64).view(np.int64), counts)),
-                    pa.array(np.concatenate([np.arange(c, dtype=np.int32) for c in counts])),
-                    pa.array(np.repeat(np.asarray(sizes, np.int32), counts)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "place", "size"])
-
-    return docs.select("text").mapInArrow(rare, "key long, node long, place int, size int")
-
-
-def _separate_pairs(docs: DataFrame, roots: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
-    """``a, b``: every pair of nodes in different groups of ``roots`` that can still be similar.
-
-    An exact prefix filter: in a similar pair the first shared shingle has at least the needed
-    number of shingles from it on, in both sets. Pairs within a group change no group and are not made.
-    """
-    rows = cut_lineage(_rare_shingles(docs, shingle_words, similarity))
-    apart = (F.min("at") < F.max("at")).alias("apart")
-    several = rows.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("key")
-    placed = rows.join(several, "key").distinct().join(roots, "node", "left").withColumn("at", F.coalesce("root", "node"))
-    placed = cut_lineage(placed.select("key", "node", "place", "size", "at"))
-    mixed = placed.groupBy("key").agg(apart).where("apart").select("key")
-    held = cut_lineage(placed.join(mixed, "key"))
-    left, right = (held.select("key", *[F.col(c).alias(c + side) for c in ("node", "place", "size", "at")]) for side in "ab")
-    needed = _needed(F.col("sizea") + F.col("sizeb"), similarity)
-    possible = (F.col("sizea") - F.col("placea") >= needed) & (F.col("sizeb") - F.col("placeb") >= needed)
-    pairs = left.join(right, "key").where((F.col("ata") < F.col("atb")) & possible)
-    return pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct()
 
 
 def drop_near_duplicates(
-    docs: DataFrame,
-    shingle_words: int = STAGE_SHINGLE_WORDS,
-    max_distance: int = MAX_DISTANCE,
-    similarity: float = SIMILARITY,
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE, segments: int = SEGMENTS
 ) -> DataFrame:
-    """One row of each group of linked documents, with all its columns.
+    """One row of each component of ``near_duplicates``, with all its columns.
 
-    Documents link if their fingerprints are at most ``max_distance`` bits apart, or if they share
-    ``similarity`` of their different shingles, compared exactly. The row with the smallest
-    ``doc_id`` stays (a null id only if there is no other; of equal ids the smaller text hash). Null and
-    empty texts are one group.
+    The row with the smallest ``doc_id`` stays (a null id only if there is no other; of equal ids
+    the smaller text hash); rows repeated with the same id and text count once. Null and
+    empty texts share a fingerprint and so are one component; an empty table gives no rows.
     """
-    key = [F.col("doc_id"), F.xxhash64("text")]
-    marked = cut_lineage(
-        docs.select(key[0], key[1].alias("_text"), _fingerprints_and_minima(shingle_words)("text").alias("_s"))
-        .select("doc_id", "_text", "_s.node", "_s.fp", "_s.minima")
-    )
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_text"))
-    nodes = cut_lineage(marked.groupBy("node").agg(first.alias("first"), F.first("minima").alias("minima")))
-    # Texts of one set that repeat its shingles differently have several fingerprints.
-    prints = cut_lineage(marked.select("fp", "node").distinct())
-    heads = prints.groupBy("fp").agg(F.min("node").alias("head"))
-    equal = prints.join(heads, "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    near = (
-        near_pairs(heads, max_distance)
-        .join(heads.select(F.col("fp").alias("a"), F.col("head").alias("_a")), "a")
-        .join(heads.select(F.col("fp").alias("b"), F.col("head").alias("_b")), "b")
-        .select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-    )
-    similar = _verified(_banded_links(nodes, similarity), docs, nodes, shingle_words, similarity)
-    links = cut_lineage(equal.union(near).union(similar))
-    # Those links only spare work: whatever they missed between the groups so far is searched exactly.
-    separate = _separate_pairs(docs, components(links), shingle_words, similarity)
-    roots = components(links.union(_verified(separate, docs, nodes, shingle_words, similarity)))
-    best = F.min(F.struct(F.col("first.doc_id").isNull(), "first.doc_id", "first._text"))
-    keepers = (
-        nodes.join(roots, "node", "left")
-        .groupBy(F.coalesce("root", "node").alias("root"))
-        .agg(best.alias("_keep"))
-        .select(F.col("_keep.doc_id").alias("_keep_id"), F.col("_keep._text").alias("_keep_text"))
-    )
-    chosen = docs.join(keepers, key[0].eqNullSafe(F.col("_keep_id")) & (key[1] == F.col("_keep_text")), "left_semi")
-    # Rows repeated with the same id and text count once.
-    return chosen.dropDuplicates(["doc_id", "text"])
+    own = [F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.xxhash64("text").alias("_text")]
+    key = ["_none", "_id", "_text"]
+    marked = cut_lineage(docs.select(*own, fingerprint_column("text", shingle_words).alias("fp")))
+    keepers = _classes(marked, F.struct(*key), max_distance, segments).select("first.*").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), *own)
+    # Repeated rows are combined before the shuffle, and the join keeps its partitions.
+    return rows.dropDuplicates(key).join(keepers, key, "left_semi").select("_row.*")
