@@ -25,7 +25,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, a similarity of 0.8."""
+    """One document of each SimHash component: three-word shingles, at most two differing bits."""
     return simhash.drop_near_duplicates(docs)
 
 
@@ -48,8 +48,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-# SQL cannot express the fitted models of these stages; tests hold the pipeline
-# against a brute-force version instead.
+# SQL cannot express the fitted models of these stages; tests/llm/test_pipeline.py works
+# the rows of every stage out in plain Python instead.
 ORACLE_SQL = None
 
 
