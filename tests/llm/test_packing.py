@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from threadloom.llm import packing
+from threadloom.llm import packing, tokens
 from threadloom.llm.tokens import ChunkEncoder
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -46,13 +46,35 @@ def test_padding_spares_powers_of_two():
 def test_chunks_give_the_library_ids(spark, name):
     path = public_tokenizers.path(name)
     own, library = ChunkEncoder(path), Tokenizer.from_file(path)
-    library.encode_special_tokens = True
+    assert own.words_by_model
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
-    texts += ["", " ", "  a  b\n\n c\td ", "it's don't 12 3.4, x. y,. z.,", "<|endoftext|> x", "Ü “q” é. É, é", "a　b\x1cc\x85d", "ΣΑΣ. İ.", "\r\n x\n\n y \n", "q" * 3000]
+    texts += ["", " ", "  a  b\n\n c\td ", "it's don't 12 3.4, x. y,. z.,", "<|endoftext|> hi", "a <|startoftext|>b <|ENDOFTEXT|>", "<|end", "Ü “q” é. É, é", "a　b\x1cc\x85d", "ΣΑΣ. İ.", "\r\n x\n\n y \n", "q" * 3000]
     for text, ids in zip(texts, own.encode(texts), strict=True):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text[:60]
 
 
+PARTS = [" ", "  ", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "a", "Wordly", "É", "İ", "Σ", "σς", "ﬁ", "e\u0301", "\u0301", "'", "'s", "'LL", "\u2019t",
+         ",", ".", "--", "<|", "<|endoftext|>", "12", "9", "²", "½", "٣", "漢字", "\U0001f600", "ß", "łódź", "ŉ", "_", "\x00", "\x7f", "\xad", "K", "Å"]
+ENCODERS = {n: (ChunkEncoder(public_tokenizers.path(n)), Tokenizer.from_file(public_tokenizers.path(n))) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")}
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=14).map("".join), max_size=4))
+def test_any_text_gives_the_library_ids(texts):
+    for own, library in ENCODERS.values():
+        got = [ids.tolist() for ids in own.encode(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_forgotten_chunks_are_learnt_again(monkeypatch, prose):
+    monkeypatch.setattr(tokens, "_REMEMBERED", 50)
+    own, library = ChunkEncoder(WORDS), ENCODERS["word_bpe_49k.json"][1]
+    for seed in (1, 2, 1, 3, 2, 2):
+        text = prose(seed, 80)
+        assert own.encode([text, None])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(own.newer) <= 50 and len(own.older) <= 100
+
+
 def test_odd_rows_keep_every_id_once(odd_documents, no_documents):
     rows = packing.pack_documents(odd_documents, WORDS, keep_ids=True, window_tokens=50_000).toPandas()
     library = Tokenizer.from_file(WORDS)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from threadloom.llm.common import plain_texts, small_slices
+from threadloom.llm.common import small_slices
 from threadloom.llm.tokens import encoder
 
 SEQUENCE_TOKENS = 2048
@@ -149,7 +149,7 @@ def pack_documents(
         for batch in batches:
             done = 0
             for texts in small_slices(batch.column(1)):
-                for ids in encode(plain_texts(texts)):
+                for ids in encode(texts):
                     held.append(np.concatenate((ids, end)))
                     tokens += len(held[-1])
                 doc_ids += batch.column(0).slice(done, len(texts)).to_pylist()

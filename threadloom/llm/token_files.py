@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from threadloom.llm.common import plain_texts, small_slices
+from threadloom.llm.common import small_slices
 from threadloom.llm.files import atomic_output, exact_reader, open_input
 from threadloom.llm.tokens import encoder
 from threadloom.sources.stages import scratch_path
@@ -182,7 +182,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
                 done = 0
                 for texts in small_slices(batch.column(1)):
                     doc_ids = batch.column(0).slice(done, len(texts)).to_pylist()
-                    for doc_id, ids in zip(doc_ids, encode.encode(plain_texts(texts)), strict=True):
+                    for doc_id, ids in zip(doc_ids, encode.encode(texts), strict=True):
                         writer.add(doc_id, np.concatenate((ids, end)))
                     done += len(texts)
                 batch = next(batches, None)
