@@ -20,6 +20,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD_BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # after lower-casing: ASCII but letters and digits
 
 
+BLANKS = r"[\x20\x09-\x0D]+"
+
+
 def ascii_words(text: str | Column) -> Column:
     """Words of letters, digits and all other than ASCII characters, A-Z lower-cased; none for null."""
     lowered = F.translate(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), UPPER, LOWER)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadloom.llm import licenses, mixing, neighbours, packing, quality, simhash, token_files, topk, toxicity, warc
+from threadloom.llm import decontamination, filter_audit, licenses, mixing, neighbours, packing, quality, runs, simhash, token_files, topk, toxicity, warc
 from threadloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,34 @@ def op10_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     labelled = mixing.labelled_languages(docs, read_table(spark, sf_dir, "labels"))
     return mixing.mixing_rates(docs, labelled, mixing.LANGUAGE_TARGETS)
+
+
+@_register
+def op11_prefix_filtered_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marked documents as ids and digests."""
+    found = decontamination.find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLES["op11_prefix_filtered_decontamination"] = decontamination.oracle_sql()
+
+
+@_register
+def op12_synchronised_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digest(runs.find_runs(runs.plant_repetitions(read_table(spark, sf_dir, "documents"))))
+
+
+@_register
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_interactions"] = filter_audit.oracle_sql()
