@@ -41,6 +41,29 @@ def test_pruned_search_equals_scoring_everything_and_skips_blocks():
     assert shard.evaluated < touched
 
 
+def test_a_carried_floor_skips_blocks_and_keeps_the_best():
+    """Two halves searched one after the other give the rows of the whole, and read less of the second."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"k{kind}w{int(x)}" for x in rng.zipf(1.4, 20) if x < 60) for kind in range(40) for _ in range(60)]
+    whole, terms, _ = shard_of(texts, block_docs=16)
+    lengths = np.asarray([len(t) for t in terms], np.int64)
+    halves = []
+    for part in (slice(0, None, 2), slice(1, None, 2)):
+        ids = np.arange(len(texts))[part]
+        parts = topk.build_shard(ids, np.concatenate([terms[i] for i in ids]), lengths[ids])
+        halves.append(topk.Shard(parts, lengths.mean(), block_docs=16))
+    fresh = topk.Shard(parts, lengths.mean(), block_docs=16)
+    for kind in range(0, 40, 3):
+        query = np.unique(np.asarray([hash(f"k{kind}w{i}") for i in (1, 2, 5, 9)] + [hash(f"k{kind + 1}w1")], np.int64))
+        idf = np.linspace(1.0, 3.0, len(query))
+        first = halves[0].search(-1, query, idf, 10)
+        both = halves[1].search(-1, query, idf, 10, first)
+        alone = whole.search(-1, query, idf, 10)
+        assert both[0].tolist() == alone[0].tolist() and both[1].tolist() == alone[1].tolist()
+        fresh.search(-1, query, idf, 10)
+    assert halves[1].skipped > 0 and halves[1].evaluated < fresh.evaluated
+
+
 def test_odd_rows_and_tables(odd_documents, no_documents):
     got = topk.search_top_k(odd_documents, F.expr(FIRST))
     rows = got.collect()
@@ -55,6 +78,7 @@ def test_odd_rows_and_tables(odd_documents, no_documents):
 def test_many_shards_merge_to_the_same_rows(spark, monkeypatch):
     monkeypatch.setattr(topk, "SHARD_DOCS", 37)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 1)
+    monkeypatch.setattr(topk, "CHAINS", 3)
     sf_dir = "/root/testdata/sf0.001"
     got = topk.search_top_k(spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(4), F.expr(FIRST))
     assert oracle.difference(got, oracle.connect(sf_dir), topk.oracle_sql()) is None

@@ -4,8 +4,10 @@ Tasks index their own split of the documents into shard files in the shared fold
 in blocks of documents. Document frequencies and lengths are summed over all shards, so that every
 shard scores with global statistics. A search task loads a shard, turns term frequencies into
 impacts with their maxima per term and block. Terms that cannot reach the k-th score by themselves nominate no
-document, and block maxima bound what they add to the nominees of the others, so that most postings
-of common words are never scored. The shards' exact best rows are merged exactly.
+document, blocks whose summed maxima stay below it are skipped unread, and block maxima bound what the small
+terms add to the nominees of the others. A task searches a chain of shards one after the other for a block of
+queries and carries each query's best rows along, so that a shard starts with the k-th score
+reached so far and a chain gives k rows a query. The chains' exact best rows are merged exactly.
 """
 
 from __future__ import annotations
@@ -26,8 +28,9 @@ TOP = 10
 BLOCK_DOCS = 64
 SHARD_DOCS = 8_192
 SHARD_TOKENS = 1 << 24
-QUERY_BLOCK = 2_048
-MOST_TASKS = 100_000
+SPARE = 1.25  # a shard may be so much fuller, rather than leave a small one behind
+QUERY_BLOCK = 1_024
+CHAINS = 4  # of shards, for each block of queries
 FIRST_TERMS = 16
 NOMINEES_AT_ONCE = 24
 MARGIN = 1e-6  # more than rounding can move a sum
@@ -117,6 +120,7 @@ class Shard:
         self.block_max = np.maximum.reduceat(self.impact, starts) if some else np.zeros(0)
         self.term_max = np.maximum.reduceat(self.impact, self.bounds[:-1]) if some else np.zeros(0)
         self.block_of = self.docs[starts] // block_docs
+        self.run_starts = np.append(starts, len(self.docs))
         # Runs of a term: from its first to the next term's first.
         self.run_bounds = np.searchsorted(starts, self.bounds)
         # The same postings by document, to score a few documents in full.
@@ -124,7 +128,7 @@ class Shard:
         self.own_terms, self.own_impact = term_of[by_doc], self.impact[by_doc]
         self.own_bounds = np.concatenate(([0], np.cumsum(np.bincount(self.docs, minlength=len(self.doc_ids)))))
         self.weight = np.zeros(len(self.terms))
-        self.evaluated = 0  # postings scored, for tests and tuning
+        self.evaluated = self.skipped = 0  # postings scored, and those of nominating terms in skipped blocks
 
     def _sums(self, at: np.ndarray, idf: np.ndarray) -> np.ndarray:
         """Scores of all documents over the terms ``at``."""
@@ -133,10 +137,18 @@ class Shard:
         self.evaluated += len(rows)
         return np.bincount(self.docs[rows], np.repeat(idf, last - first) * self.impact[rows], len(self.doc_ids))
 
-    def _block_bounds(self, at: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    def _runs(self, at: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The runs of the terms ``at``, their terms' weights, and the sums of their maxima by block."""
         first, last = self.run_bounds[at], self.run_bounds[at + 1]
-        runs = _ranges(first, last)
-        return np.bincount(self.block_of[runs], np.repeat(idf, last - first) * self.block_max[runs], self.n_blocks)
+        runs, weights = _ranges(first, last), np.repeat(idf, last - first)
+        return runs, weights, np.bincount(self.block_of[runs], weights * self.block_max[runs], self.n_blocks)
+
+    def _run_sums(self, runs: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Scores of all documents over the postings of ``runs``."""
+        first, last = self.run_starts[runs], self.run_starts[runs + 1]
+        rows = _ranges(first, last)
+        self.evaluated += len(rows)
+        return np.bincount(self.docs[rows], np.repeat(weights, last - first) * self.impact[rows], len(self.doc_ids))
 
     def _scores(self, docs: np.ndarray, at: np.ndarray, idf: np.ndarray) -> np.ndarray:
         """Scores of the documents ``docs`` over the terms ``at``."""
@@ -148,23 +160,27 @@ class Shard:
         self.evaluated += int(np.count_nonzero(weight))
         return np.bincount(np.repeat(np.arange(len(docs)), last - first), weight * self.own_impact[rows], len(docs))
 
-    def search(self, query: int, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and rounded scores of the ``k`` best documents other than ``query`` itself.
+    def search(
+        self, query: int, terms: np.ndarray, idf: np.ndarray, k: int, best: tuple[np.ndarray, np.ndarray] | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and rounded scores of the ``k`` best documents other than ``query`` itself, here and in ``best``.
 
-        The terms of smallest maxima, which together stay below the k-th score found so far, cannot lift
-        a document over it by themselves: only the other terms nominate documents (WAND's pivot). A
-        nominee whose score so far plus the block maxima of the small terms stays below is
+        ``best`` are those of earlier shards; their k-th score is the floor to start with. The terms of
+        smallest maxima, which together stay below the floor, cannot lift a document over it by
+        themselves: only the other terms nominate documents (WAND's pivot). Blocks whose maxima sum up to less
+        are skipped. A nominee whose score so far plus the block maxima of the small terms stays below is
         skipped; the rest are scored in full, the most promising first.
         """
+        if best is None:
+            best = np.zeros(0, np.int64), np.zeros(0)
         if not len(self.terms):
-            return np.zeros(0, np.int64), np.zeros(0)
+            return best
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         here = self.terms[at] == terms
         at, idf = at[here], idf[here]
         top = idf * self.term_max[at]
         order = np.argsort(top, kind="stable")
         at, idf, reach = at[order], idf[order], np.cumsum(top[order])
-        best: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0))
 
         def take(docs: np.ndarray, scores: np.ndarray) -> float:
             """Merge scored documents into the best, each id once at its best score; returns the k-th score."""
@@ -179,25 +195,34 @@ class Shard:
             best = ids[first], scores[first]
             return float(scores[first[-1]]) - MARGIN if len(first) == k else 0.0
 
-        # The largest terms alone give a first k-th score that documents really reach.
-        floor = 0.0
-        start = len(at) - min(FIRST_TERMS, len(at) // 2)
-        partial = self._sums(at[start:], idf[start:])
-        likely = np.argsort(-partial, kind="stable")[: 2 * k]
-        likely = likely[partial[likely] > 0]
-        floor = take(likely, self._scores(likely, at, idf))
+        floor = float(best[1][-1]) - MARGIN if len(best[0]) == k else 0.0
+        taken = np.zeros(0, np.int64)
+        if floor <= 0:
+            # The largest terms alone give a first k-th score that documents really reach.
+            start = len(at) - min(FIRST_TERMS, len(at) // 2)
+            partial = self._sums(at[start:], idf[start:])
+            taken = np.argsort(-partial, kind="stable")[: 2 * k]
+            taken = taken[partial[taken] > 0]
+            floor = take(taken, self._scores(taken, at, idf))
         pivot = int(np.searchsorted(reach, floor, side="left"))
         if pivot == len(at):
             return best
-        partial = self._sums(at[pivot:], idf[pivot:])
-        bound = partial + self._block_bounds(at[:pivot], idf[:pivot])[np.arange(len(partial)) // self.block_docs]
-        bound[partial == 0] = 0.0
-        bound[likely] = 0.0  # already taken
-        nominees = np.flatnonzero((bound >= floor) & (bound > 0))
-        nominees = nominees[np.argsort(-bound[nominees], kind="stable")]
+        runs, weights, large = self._runs(at[pivot:], idf[pivot:])
+        small = self._runs(at[:pivot], idf[:pivot])[2]
+        live = (large + small >= floor)[self.block_of[runs]]
+        if not live.all():
+            self.skipped += int((self.run_starts[runs + 1] - self.run_starts[runs])[~live].sum())
+            runs, weights = runs[live], weights[live]
+        partial = self._run_sums(runs, weights)
+        nominees = np.flatnonzero(partial)
+        bound = partial[nominees] + small[nominees // self.block_docs]
+        promising = bound >= floor
+        promising[np.isin(nominees, taken)] = False  # already scored
+        nominees, bound = nominees[promising], bound[promising]
+        order = np.argsort(-bound, kind="stable")
+        nominees, bound = nominees[order], bound[order]
         for a in range(0, len(nominees), NOMINEES_AT_ONCE):
-            some = nominees[a : a + NOMINEES_AT_ONCE]
-            some = some[bound[some] >= floor]
+            some = nominees[a : a + NOMINEES_AT_ONCE][bound[a : a + NOMINEES_AT_ONCE] >= floor]
             if not len(some):
                 break
             floor = take(some, partial[some] + self._scores(some, at[:pivot], idf[:pivot]))
@@ -253,7 +278,7 @@ def write_index(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
                 held[2].append(lengths)
                 rows += len(lengths)
                 tokens += int(lengths.sum())
-                if rows >= SHARD_DOCS or tokens >= SHARD_TOKENS:
+                if rows >= SPARE * SHARD_DOCS or tokens >= SHARD_TOKENS:
                     yield from flush()
         yield from flush()
 
@@ -288,7 +313,6 @@ def _write_queries(weighted: DataFrame, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([len(some)], pa.int64())], ["block", "queries"])
                 number += 1
 
-    # The planner packs small partitions of the grouping, so that blocks are mostly full.
     schema = "block string, queries long"
     weighted.mapInArrow(write, schema).write.parquet(f"{folder}/blocks")
     return weighted.sparkSession.read.schema(schema).parquet(f"{folder}/blocks")
@@ -318,39 +342,48 @@ def search_top_k(docs: DataFrame, is_query: Column, k: int = TOP, folder: str |
         .agg(F.array_sort(F.collect_list(F.struct("term", idf.alias("idf")))).alias("words"))
         .select("query_id", F.col("words.term").alias("terms"), F.col("words.idf").alias("idf"))
     )
-    blocks = _write_queries(weighted, folder)
+    # Full blocks, since every one of them meets every shard.
+    number = docs.where(is_query).count()
+    blocks = _write_queries(weighted.repartition(max(1, -(-number // QUERY_BLOCK))), folder)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by shard, so that each is loaded once per task."""
-        loaded, shard = None, None
+        """Rows come by block and chain; a block's best rows are carried along its chain."""
+        current, asked, best = None, {}, []
+
+        def found() -> Iterator[pa.RecordBatch]:
+            if best:
+                sizes = [len(ids) for ids, _ in best]
+                columns = [np.repeat(asked["ids"], sizes), *map(np.concatenate, zip(*best, strict=True))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "doc_id", "score"])
+
         for batch in batches:
-            for path, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if path != loaded:
-                    loaded, shard = path, None  # let go of the last one first
-                    shard = Shard(_load(path), average)
-                asked = _load(block, _QUERY_PARTS)
-                out: tuple[list, list, list] = ([], [], [])
-                for query, a, b in zip(asked["ids"].tolist(), asked["bounds"], asked["bounds"][1:], strict=False):
-                    ids, scores = shard.search(query, asked["terms"][a:b], asked["idf"][a:b], k)
-                    out[0].append(np.full(len(ids), query))
-                    out[1].append(ids)
-                    out[2].append(scores)
-                columns = [pa.array(np.concatenate(c)) for c in out] if out[0] else [pa.array([], pa.int64())] * 2 + [pa.array([], pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, ["query_id", "doc_id", "score"])
+            for block, chain, path in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (block, chain) != current:
+                    yield from found()
+                    current, asked = (block, chain), _load(block, _QUERY_PARTS)
+                    best = [(np.zeros(0, np.int64), np.zeros(0))] * len(asked["ids"])
+                shard = None  # let go of the last one first
+                shard = Shard(_load(path), average)
+                bounds = asked["bounds"].tolist()
+                for i, (query, a, b) in enumerate(zip(asked["ids"].tolist(), bounds, bounds[1:], strict=False)):
+                    best[i] = shard.search(query, asked["terms"][a:b], asked["idf"][a:b], k, best[i])
+        yield from found()
 
     # Every shard meets every block of the stated query set; only their paths are shuffled.
     numbered = files.select("path", (F.row_number().over(Window.orderBy("path")) - 1).alias("shard"))
     shards = files.count()
+    order = F.row_number().over(Window.orderBy("block")) - 1  # a row for each file of queries
     tasks = (
-        blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(shards, 1) - 1))))
+        blocks.select("block", (order * CHAINS).alias("_group"), F.explode(F.sequence(F.lit(0), F.lit(max(shards, 1) - 1))).alias("shard"))
         .join(numbered, "shard")
-        .select("path", "block")
+        .withColumn("chain", F.col("shard") % CHAINS)
     )
-    groups = max(1, -(-(blocks.agg(F.sum("queries")).first()[0] or 0) // QUERY_BLOCK))
-    number = min(max(1, shards) * groups, MOST_TASKS)
+    number = max(1, blocks.count() * min(CHAINS, max(shards, 1)))
     found = (
-        tasks.repartition(number, "path", F.pmod(F.hash("block"), F.lit(groups)))
-        .sortWithinPartitions("path")
+        tasks.withColumn("_group", F.col("_group") + F.col("chain"))
+        .repartitionByRange(number, "_group")
+        .sortWithinPartitions("_group", "path")
+        .select("block", "chain", "path")
         .mapInArrow(search, "query_id long, doc_id long, score double")
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
