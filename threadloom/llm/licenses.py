@@ -3,8 +3,8 @@
 Every two neighbouring words of every document are hashed and joined with the same of
 short license templates. A hit votes for the diagonal, document position minus template
 position. Neighbouring diagonals, which inserted or missing words cause, are merged, and a
-span counts when enough of its template has been seen within a span of about its length.
-Words are compared besides hashes, so a hit is never a hash collision.
+merged span counts when it has votes enough and enough of the template's words lie in pairs seen within a span
+of about its length. Words are compared besides hashes, so a hit is never a hash collision.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 
-COVERAGE = 0.8
-MIN_VOTES = 3  # of a diagonal; a template of fewer pairs needs all of them
+COVERAGE = 0.8  # of a template's words
+MIN_VOTES = 3  # different pairs of a merged span; a template of fewer pairs needs all of them
 SLACK = 2  # words by which neighbouring diagonals may differ
 
 
@@ -86,7 +86,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
     ``n_base`` counts all places of the base phrases, ``first_word`` and ``last_word`` are their smallest
     and largest start. ``labels`` joins the base labels and those of recognised notices; ``score`` is the largest
-    share of a template seen in one span. Null and empty texts have no words and no labels; null ids
+    share of a template's words seen in one span. Null and empty texts have no words and no labels; null ids
     and repeated rows are scanned like any other; an empty table gives no rows.
     """
     templates = F.broadcast(template_pairs(docs.sparkSession))  # a few hundred rows, fixed
@@ -98,8 +98,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     votes = (
         pairs.join(templates, ["hash", "a", "b"])
         .groupBy("_row", "doc_id", "n_words", "template", "label", "exact", "pairs", (F.col("_at") - F.col("at")).alias("diagonal"))
-        .agg(F.count(F.lit(1)).alias("votes"), F.min("_at").alias("start"), F.max("_at").alias("end"))
-        .where((F.col("template") < 0) | (F.col("votes") >= F.least(F.lit(MIN_VOTES), F.col("pairs"))))
+        # Bit i: the template's pair i has been seen; templates have at most 62 pairs.
+        .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("seen"), F.min("_at").alias("start"), F.max("_at").alias("end"))
     )
     along = Window.partitionBy("_row", "template").orderBy("diagonal")
     apart = F.col("exact") | (F.col("diagonal") - F.lag("diagonal").over(along) > SLACK)
@@ -107,13 +107,15 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         votes.withColumn("_new", F.coalesce(apart, F.lit(True)).cast("int"))
         .withColumn("_span", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy("_row", "doc_id", "n_words", "template", "label", "exact", "pairs", "_span")
-        .agg(F.sum("votes").alias("votes"), F.min("start").alias("start"), F.max("end").alias("end"))
-        .withColumn("seen", F.least(F.lit(1.0), F.col("votes") / F.greatest("pairs", F.lit(1))))
+        .agg(F.bit_or("seen").alias("seen"), F.min("start").alias("start"), F.max("end").alias("end"))
+        .withColumn("votes", F.bit_count("seen"))
+        .withColumn("share", F.bit_count(F.col("seen").bitwiseOR(F.shiftleft("seen", 1))) / (F.col("pairs") + 1))
     )
     real = F.col("template") >= 0
     is_base = real & F.col("exact") & (F.col("votes") == F.col("pairs"))
     compact = F.col("end") - F.col("start") < F.col("pairs") + SLACK
-    is_notice = real & ~F.col("exact") & compact & (F.col("seen") >= COVERAGE)
+    is_seen = real & ~F.col("exact") & compact & (F.col("votes") >= F.least(F.lit(MIN_VOTES), F.col("pairs")))
+    is_notice = is_seen & (F.col("share") >= COVERAGE)
     start = F.col("start").cast("long")
 
     def joined(condition: Column) -> Column:
@@ -127,7 +129,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
             F.max(F.when(is_base, start)).alias("last_word"),
             joined(is_base).alias("base_labels"),
             joined(is_base | is_notice).alias("labels"),
-            F.coalesce(F.max(F.when(real & (is_base | (compact & ~F.col("exact"))), F.col("seen"))), F.lit(0.0)).alias("score"),
+            F.coalesce(F.max(F.when(is_base | is_seen, F.col("share"))), F.lit(0.0)).alias("score"),
         )
         .drop("_row")
     )
@@ -151,24 +153,24 @@ template_pairs AS (
 rows_ AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents),
 doc_pairs AS (SELECT rid, i - 1 AS pos, w[i] AS a, w[i + 1] AS b FROM rows_, unnest(range(1, len(w))) AS r(i)),
 votes AS (
-  SELECT rid, template, label, exact, pairs, pos - tpos AS diagonal, count(*) AS votes, min(pos) AS first_, max(pos) AS last_
-  FROM doc_pairs JOIN template_pairs USING (a, b) GROUP BY ALL HAVING count(*) >= least({MIN_VOTES}, pairs)),
+  SELECT rid, template, label, exact, pairs, pos - tpos AS diagonal, bit_or(1::BIGINT << tpos::INTEGER) AS hits, min(pos) AS first_, max(pos) AS last_
+  FROM doc_pairs JOIN template_pairs USING (a, b) GROUP BY ALL),
 marked AS (
   SELECT *, CASE WHEN exact OR diagonal - lag(diagonal) OVER v > {SLACK} OR lag(diagonal) OVER v IS NULL THEN 1 ELSE 0 END AS new_
   FROM votes WINDOW v AS (PARTITION BY rid, template ORDER BY diagonal)),
 grouped AS (
   SELECT *, sum(new_) OVER (PARTITION BY rid, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS span FROM marked),
 spans AS (
-  SELECT rid, template, label, exact, pairs, span, sum(votes) AS votes, min(first_) AS first_, max(last_) AS last_,
-         least(1.0::DOUBLE, sum(votes)::DOUBLE / pairs) AS seen
+  SELECT rid, template, label, exact, pairs, span, bit_or(hits) AS hits, min(first_) AS first_, max(last_) AS last_
   FROM grouped GROUP BY rid, template, label, exact, pairs, span),
 judged AS (
-  SELECT *, exact AND votes = pairs AS is_base, NOT exact AND last_ - first_ < pairs + {SLACK} AS compact FROM spans),
+  SELECT *, exact AND bit_count(hits) = pairs AS is_base, bit_count(hits | (hits << 1))::DOUBLE / (pairs + 1) AS share,
+         NOT exact AND last_ - first_ < pairs + {SLACK} AND bit_count(hits) >= least({MIN_VOTES}, pairs) AS is_seen FROM spans),
 summed AS (
   SELECT rid, count(*) FILTER (is_base) AS n_base, min(first_) FILTER (is_base) AS first_word, max(first_) FILTER (is_base) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base) AS base_labels,
-         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base OR (compact AND seen >= {COVERAGE})) AS labels,
-         max(seen) FILTER (is_base OR compact) AS score
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base OR (is_seen AND share >= {COVERAGE})) AS labels,
+         max(share) FILTER (is_base OR is_seen) AS score
   FROM judged GROUP BY rid)
 SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
