@@ -211,6 +211,9 @@ class _Part:
         self.vectors: list[np.ndarray] = []
         self.buckets = None
 
+    def __bool__(self) -> bool:
+        return bool(self.ids) or self.buckets is not None
+
     def add(self, ids: np.ndarray, codes: np.ndarray, vectors: np.ndarray) -> None:
         self.ids.append(ids)
         self.codes.append(codes)
@@ -218,13 +221,21 @@ class _Part:
 
     def nearest(self, query: int, codes: np.ndarray, vector: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         if self.buckets is None:
-            self.all_ids, self.all_vectors = np.concatenate(self.ids), np.concatenate(self.vectors)
+            all_codes = np.concatenate(self.codes)
+            order = np.argsort(all_codes, kind="stable")  # a bucket's rows lie together
+            self.all_ids, self.all_vectors = np.concatenate(self.ids)[order], np.concatenate(self.vectors)[order]
             self.repeats = len(np.unique(self.all_ids)) < len(self.all_ids)
-            self.buckets, self.bucket_of = np.unique(np.concatenate(self.codes), return_inverse=True)
-        at = np.minimum(np.searchsorted(self.buckets, codes), len(self.buckets) - 1)
-        visited = np.full(len(self.buckets), not len(codes))  # no codes: every bucket
-        visited[at[self.buckets[at] == codes]] = True
-        rows = np.flatnonzero(visited[self.bucket_of] & (self.all_ids != query))
+            self.buckets, self.starts = np.unique(all_codes[order], return_index=True)
+            self.starts = np.append(self.starts, len(order))
+            self.ids, self.codes, self.vectors = [], [], []
+        if len(codes):
+            at = np.minimum(np.searchsorted(self.buckets, codes), len(self.buckets) - 1)
+            at = np.unique(at[self.buckets[at] == codes])
+            size = self.starts[at + 1] - self.starts[at]
+            rows = np.arange(size.sum()) + np.repeat(self.starts[at] - (np.cumsum(size) - size), size)
+        else:  # every bucket
+            rows = np.arange(len(self.all_ids))
+        rows = rows[self.all_ids[rows] != query]
         apart = self.all_vectors[rows] - vector
         distance = np.sqrt(np.einsum("ij,ij->i", apart, apart))
         ids = self.all_ids[rows]
@@ -258,7 +269,7 @@ def _search(k: int):
                 codes = batch.column(5).slice(a, b - a)
                 if key[a, 3] == 0:
                     part.add(ids[a:b], codes.flatten().to_numpy(zero_copy_only=False), vectors)
-                elif part.ids:
+                elif part:
                     for q in range(b - a):
                         found, distance = part.nearest(ids[a + q], codes[q].values.to_numpy(zero_copy_only=False), vectors[q], k)
                         out[0].append(np.full(len(found), ids[a + q]))
@@ -289,7 +300,8 @@ def nearest_neighbours(table: DataFrame, is_query: Column, k: int = NEAREST, see
     if total > MAX_FIT:
         cut = int(-(2**63) + (MAX_FIT / total) * 2**64)
         some = good.where(F.xxhash64("vec_id", F.lit(seed)) < F.lit(cut).cast("long"))
-    sample = some.toPandas().sort_values("vec_id", kind="stable")
+    # An id's smallest vector stands for its repeated rows, so that the sample's bound holds.
+    sample = some.groupBy("vec_id").agg(F.min("vec").alias("vec")).toPandas().sort_values("vec_id", kind="stable")
     if not len(sample):
         sample = good.limit(1).toPandas()
     hashing = fit_hashing(np.stack(sample["vec"].to_numpy())[: 2 * MAX_FIT], seed)
