@@ -315,3 +315,85 @@ def test_language_of_null_and_repeated_ids(spark, monkeypatch):
     for size in (language.BROADCAST_BYTES, 0):
         monkeypatch.setattr(language, "BROADCAST_BYTES", size)
         assert sorted((str(r["id"]), str(r["language"])) for r in model.predict(rows, "id").collect()) == wanted
+
+
+def test_sizes_are_exact_with_repeated_ids(spark):
+    """Rows of one id or of none, different and equal ones, in every sampling operator."""
+    schema = "id int, company string, v int"
+    for rows in (
+        [(None, "a", i) for i in range(20)],
+        [(7, "a", i // 4) for i in range(20)],
+        [(7, "a", 1)] * 20,
+        [(i % 3, "a", i % 5) for i in range(16)] + [(None, "a", 0)] * 4,
+    ):
+        df = spark.createDataFrame(rows, schema).repartition(3)
+        split = sampling.train_val_split(df, 1, "id").collect()
+        assert sorted((r.id or -1, r.v) for r in split) == sorted((r[0] or -1, r[2]) for r in rows)
+        assert sum(r.split == "val" for r in split) == 4
+        got = sampling.stratified_quota_sample(df, "company", ["a"], 5, 3, "id").collect()
+        assert len(got) == 5 and sorted(r.sample_idx for r in got) == list(range(5))
+        several = sampling.stratified_quota_sample(df.unionByName(df.withColumn("company", F.lit("b"))), "company", ["a", "b"], 31, 3, "id")
+        counts = {r.company: r["count"] for r in several.groupBy("company").count().collect()}
+        assert sum(counts.values()) == 31 and min(counts.values()) >= 15
+        assert sampling.sample_n(df, 7, 3, "id").count() == 7
+
+
+def test_many_rows_of_one_id_are_cut_and_ranked_in_parts(spark, monkeypatch):
+    rows = spark.range(100_000).select(F.lit(5).alias("id"), F.col("id").alias("v"))
+    split = sampling.train_val_split(rows, 1, "id").groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in split} == {"val": 20_000, "train": 80_000}
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 1_000)
+    ranked = sampling.shuffle_rows(rows, 1, "id").cache()
+    assert ranked.columns == ["id", "v", "shuffle_idx"]
+    assert ranked.agg(F.countDistinct("shuffle_idx"), F.min("shuffle_idx"), F.max("shuffle_idx")).first() == (100_000, 0, 99_999)
+    assert ranked.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    few = spark.range(500)
+    usual = {r["id"]: r["i"] for r in sampling.shuffle_rows(few, 5, "id", "i").collect()}
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 0)
+    assert {r["id"]: r["i"] for r in sampling.shuffle_rows(few, 5, "id", "i").collect()} == usual
+
+
+def test_rows_of_one_id_are_judged_each(spark):
+    rows = spark.createDataFrame(
+        [(None, "alpha beta gamma"), (None, "zzz yyy xxx"), (1, "alpha beta gamma"), (1, "qqq ppp ooo"), (1, "qqq ppp ooo"), (2, None)], "id int, text string"
+    )
+    words = spark.createDataFrame([("alpha", 6.0), ("beta", 6.0), ("gamma", 6.0)], "word string, zipf double")
+    got = scoring.gibberish_gate(rows, words, "id").collect()
+    assert sorted((r.id or 0, r.verdict) for r in got) == [(0, "ok"), (0, "rare"), (1, "ok"), (1, "rare"), (1, "rare"), (2, "no_words")]
+    lexicon = spark.createDataFrame([("alpha", 1.0), ("zzz", -1.0)], "word string, polarity double")
+    felt = scoring.sentiment(rows, lexicon, "id").collect()
+    assert sorted((r.id or 0, r.sentiment) for r in felt) == [(0, -1.0), (0, 1.0), (1, 0.0), (1, 0.0), (1, 1.0), (2, 0.0)]
+    table = spark.createDataFrame([("alpha", 3), ("beta", 4)], "token string, token_id int")
+    ids = vocab.tokenize_ids(rows, table, "id").collect()
+    assert sorted((r.id or 0, r.ids) for r in ids) == [(0, [2, 2, 2]), (0, [3, 4, 2]), (1, [2, 2, 2]), (1, [2, 2, 2]), (1, [3, 4, 2]), (2, [])]
+    cut = vocab.tokenize_ids(rows, table, "id", max_ids=1).collect()
+    assert sorted(len(r.ids) for r in cut) == [0, 1, 1, 1, 1, 1]
+
+
+def test_rare_and_hot_unknown_tokens(spark, monkeypatch):
+    monkeypatch.setattr(vocab, "HEAD_TOKENS", 2)
+    table = spark.createDataFrame([(f"t{i}", 3 + i) for i in range(8)], "token string, token_id int")
+    texts = ["t0 t5 nowhere nowhere t7"] * 3 + ["nowhere " * 50, "t6 t1 once t6", ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    wanted = {i: [3 + int(w[1:]) if w[0] == "t" else 2 for w in t.split()] for i, t in enumerate(texts)}
+    for share in (2_048, 3, 0):  # none, some or all tokens are hot
+        monkeypatch.setattr(vocab, "HOT_SHARE", share)
+        assert {r["id"]: r["ids"] for r in vocab.tokenize_ids(rows, table, "id").collect()} == wanted
+
+
+def test_language_filter_judges_every_row_by_its_text(spark):
+    from threadloom.operators import language
+
+    known = spark.createDataFrame(
+        [("en", "the cat and the dog went there"), ("fr", "le chat et le chien sont la bas")], "lang string, text string"
+    )
+    rows = spark.createDataFrame(
+        [(None, "the dog and the cat"), (None, "le chien et le chat"), (1, "the cat"), (1, "le chat et la"), (2, None)], "id int, text string"
+    )
+    for limit in (language.BROADCAST_BYTES, 0):
+        language.BROADCAST_BYTES, usual = limit, language.BROADCAST_BYTES
+        try:
+            kept = language.english_filter(rows, language.fit_language_profiles(known))
+            assert sorted((r.id or 0, r.text) for r in kept.collect()) == [(0, "the dog and the cat"), (1, "the cat")]
+        finally:
+            language.BROADCAST_BYTES = usual

@@ -44,19 +44,20 @@ class LanguageProfiles:
     gains: DataFrame
     unseen: DataFrame
 
-    def predict(self, texts: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
-        """``id, language``; a text without trigrams gets NULL.
+    def predict(self, texts: DataFrame, id_col: str | list[str], text_col: str = "text") -> DataFrame:
+        """``id, language`` for every row, or ``language`` beside several columns; a text without trigrams gets NULL.
 
         A profile of checked size is held by every task, which counts the trigrams of a text
         on the spot. A larger one is joined to trigram counts per text.
         """
+        id_cols = [id_col] if isinstance(id_col, str) else list(id_col)
         rows, grams = self.gains.agg(F.count(F.lit(1)), F.countDistinct("gram")).first()
         # In place the profile is a full matrix of trigrams and languages.
         if max(rows * ROW_BYTES, grams * self.unseen.count() * 8) <= BROADCAST_BYTES:
-            return self._predict_in_place(texts, id_col, text_col)
-        return self._predict_by_join(texts, id_col, text_col)
+            return self._predict_in_place(texts, id_cols, text_col)
+        return self._predict_by_join(texts, id_cols, text_col)
 
-    def _predict_in_place(self, texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    def _predict_in_place(self, texts: DataFrame, id_cols: list[str], text_col: str) -> DataFrame:
         rows = self.gains.toPandas()
         unseen = self.unseen.orderBy("lang").toPandas()
         langs = unseen["lang"].tolist()
@@ -86,13 +87,13 @@ class LanguageProfiles:
                     out.append(langs[len(langs) - 1 - int(np.argmax(score[::-1]))])
                 yield pa.array(out, pa.string())
 
-        return texts.select(id_col, label(F.lower(F.col(text_col))).alias("language"))
+        return texts.select(*id_cols, label(F.lower(F.col(text_col))).alias("language"))
 
-    def _predict_by_join(self, texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    def _predict_by_join(self, texts: DataFrame, id_cols: list[str], text_col: str) -> DataFrame:
         """Languages that have a trigram of the text are scored, besides the one with the likeliest
         unseen trigram, which no other language without a hit can surpass."""
         # Every row is a text of its own, also those of null and repeated ids.
-        keyed = cut_lineage(texts.select(id_col, text_col).withColumn("_row", F.monotonically_increasing_id()))
+        keyed = cut_lineage(texts.select(*dict.fromkeys([*id_cols, text_col])).withColumn("_row", F.monotonically_increasing_id()))
         pieces = keyed.select("_row", F.explode(trigrams(F.col(text_col))).alias("gram"))
         counted = pieces.groupBy("_row", "gram").agg(F.count(F.lit(1)).alias("n"))
         totals = counted.groupBy("_row").agg(F.sum("n").alias("total"))
@@ -115,7 +116,7 @@ class LanguageProfiles:
             .groupBy("_row")
             .agg(F.max(F.struct(score.alias("score"), "lang"))["lang"].alias("language"))
         )
-        return keyed.join(best, "_row", "left").select(id_col, "language")
+        return keyed.join(best, "_row", "left").select(*id_cols, "language")
 
 
 def fit_language_profiles(
@@ -138,7 +139,12 @@ def fit_language_profiles(
 
 
 def english_filter(
-    texts: DataFrame, labels: DataFrame, id_col: str, language: str = "en"
+    texts: DataFrame, profiles: LanguageProfiles, text_col: str = "text", language: str = "en"
 ) -> DataFrame:
-    """Rows whose detected language is ``language``; undetectable rows go."""
-    return texts.join(labels.where(F.col("language") == language), id_col, "left_semi")
+    """Rows whose detected language is ``language``; undetectable rows go.
+
+    Every row is judged by its own text, whatever its id.
+    """
+    other = [c for c in texts.columns if c != "language"]
+    kept = profiles.predict(texts.select(F.struct(*texts.columns).alias("_row_values"), *other), ["_row_values"], text_col)
+    return kept.where(F.col("language") == language).select("_row_values.*")

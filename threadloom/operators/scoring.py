@@ -31,7 +31,7 @@ def gibberish_gate(
     text_col: str = "text",
     min_zipf: float = 2.5,
 ) -> DataFrame:
-    """Verdict per text: ``short``, ``no_words``, ``rare`` or ``ok``.
+    """Verdict per row: ``short``, ``no_words``, ``rare`` or ``ok``; rows of one id, or of none, are judged each.
 
     Only words at or above ``min_zipf`` take part in the join: a word that common
     has a share of at least 10**(min_zipf-9), so no corpus of any size has more
@@ -42,24 +42,26 @@ def gibberish_gate(
     )
     sized = texts.select(
         id_col,
+        F.monotonically_increasing_id().alias("_row"),
         F.size(
             F.filter(F.split(F.col(text_col), WS + "+"), lambda t: F.length(t) > 0)
         ).alias("n_tokens"),
         frequency_words(F.col(text_col)).alias("words"),
     )
-    words = sized.select(id_col, "n_tokens", F.explode_outer("words").alias("word"))
+    words = sized.select(id_col, "_row", "n_tokens", F.explode_outer("words").alias("word"))
     if 10 ** (9 - min_zipf) <= BROADCAST_WORDS:
         # The bounded list goes to the words; only sums per text are shuffled.
         common = F.broadcast(common)
     return (
         words.join(common, "word", "left")
-        .groupBy(id_col)
+        .groupBy("_row", id_col)
         .agg(
             F.first("n_tokens").alias("n_tokens"),
             F.count("word").alias("n_words"),
             F.count("known").alias("n_common"),
         )
         .withColumn("verdict", _verdict(F.col("n_tokens"), F.col("n_words"), F.col("n_common")))
+        .drop("_row")
     )
 
 
@@ -79,14 +81,17 @@ def sentiment(
     text_col: str = "text",
     negators: tuple[str, ...] = NEGATORS,
 ) -> DataFrame:
-    """Mean lexicon polarity per text in [-1, 1]; a negator before a word turns it by -0.5.
+    """Mean lexicon polarity per row in [-1, 1]; a negator before a word turns it by -0.5.
+
+    Rows of one id, or of none, are scored each.
 
     A lexicon of checked size is broadcast to the words, so only sums per text are
     shuffled. A larger one is joined to word counts per text.
     """
-    located = texts.select(id_col, tokens(F.col(text_col)).alias("ws"))
+    located = texts.select(id_col, F.monotonically_increasing_id().alias("_row"), tokens(F.col(text_col)).alias("ws"))
     words = located.select(
         id_col,
+        "_row",
         F.explode_outer(
             F.transform(
                 F.col("ws"),
@@ -98,14 +103,14 @@ def sentiment(
                 ),
             )
         ).alias("t"),
-    ).select(id_col, "t.word", "t.negated", F.lit(1).alias("n"))
+    ).select(id_col, "_row", "t.word", "t.negated", F.lit(1).alias("n"))
     if lexicon.count() <= LEXICON_ROWS:
         hits = words.join(F.broadcast(lexicon), "word", "left")
     else:
-        counted = words.groupBy(id_col, "word", "negated").agg(F.count(F.lit(1)).alias("n"))
+        counted = words.groupBy("_row", id_col, "word", "negated").agg(F.count(F.lit(1)).alias("n"))
         hits = counted.join(lexicon, "word", "left")
     weight = F.when(F.col("negated"), F.lit(-0.5)).otherwise(F.lit(1.0)) * F.col("polarity")
-    return hits.groupBy(id_col).agg(
+    scored = hits.groupBy("_row", id_col).agg(
         F.coalesce(
             F.try_divide(
                 F.sum(weight * F.col("n")),
@@ -114,6 +119,7 @@ def sentiment(
             F.lit(0.0),
         ).alias("sentiment")
     )
+    return scored.drop("_row")
 
 
 def perplexity(

@@ -40,6 +40,7 @@ from threadloom.plans.views import (
     ATTEMPTS_SQL,
     CLEAN_CTE,
     CONTEXTS_SQL,
+    TURN_KEYS,
     TWEETS_SQL,
     attempts,
     contexts,
@@ -54,7 +55,7 @@ from threadloom.plans.views import (
     tweets,
     words_sql,
 )
-from threadloom.streaming.chat import stream_chat_turns
+from threadloom.streaming.chat import stream_chat_turns, stream_contexts
 from threadloom.streaming.pairing import stream_pair_replies
 from threadloom.streaming.runs import run_available
 
@@ -398,7 +399,7 @@ _NORMAL = sql_squeeze(
     "answer_route",
     f"""WITH {_ROUTED_SQL},
     valid AS (
-      SELECT r.conv_id * 100 + r.turn AS item, arg_min(response, attempt) AS text FROM routed r
+      SELECT r.conv_id * 4294967296 + r.turn AS item, arg_min(response, attempt) AS text FROM routed r
       JOIN attempts a ON a.conv_id = r.conv_id AND a.turn = r.turn + 1
       WHERE NOT meaningful OR regexp_matches(response, {q(cx.CITATION)}) GROUP BY ALL),
     tidy AS (SELECT item, {_NORMAL} AS text FROM valid WHERE text IS NOT NULL),
@@ -406,7 +407,7 @@ _NORMAL = sql_squeeze(
     cleaned AS (
       SELECT item, CASE verdict WHEN 'short' THEN {q(ANSWER_TROUBLE)} WHEN 'ok' THEN text ELSE {q(ANSWER_UNCLEAR)} END AS reply
       FROM tidy JOIN judged USING (item))
-    {_route_sql("reply", "fallback", ANSWER_GENERIC_V2)} FROM routed LEFT JOIN cleaned ON item = conv_id * 100 + turn""",
+    {_route_sql("reply", "fallback", ANSWER_GENERIC_V2)} FROM routed LEFT JOIN cleaned ON item = conv_id * 4294967296 + turn""",
 )
 def answer_route_query(spark, d):
     """One grounded answer per customer turn: judged attempts, the accepted one cleaned, or a way around."""
@@ -547,6 +548,24 @@ def stream_chat_turns_query(spark, d):
     return run_available(chat, "chat").select("conv_id", "turn", "history", "prompt")
 
 
+@register(
+    "stream_chat_contexts",
+    f"""WITH {HISTORY_SQL}, {CONTEXTS_SQL}, turns AS (
+      SELECT conv_id, turn, closing, contexts, concat(history, chr(10), 'Customer: ', message, chr(10)) AS line
+      FROM history LEFT JOIN contexts USING (conv_id))
+    SELECT conv_id, turn, CASE WHEN closing THEN NULL
+      WHEN len(list_filter(contexts, lambda c: length({sql_strip("c")}) > 50)) > 0
+      THEN concat({q(RULES_PROMPT)}, 'Context:', chr(10), {_numbered("contexts")}, chr(10), chr(10), line, {q(CITE_TAIL)})
+      ELSE concat({q(OPEN_PROMPT)}, line, 'Support:') END AS prompt FROM turns""",
+)
+def stream_chat_contexts_query(spark, d):
+    """Prompts of the chat stream with retrieved contexts."""
+    turns = stream_table(spark, d, "conversations")
+    turns = turns.withColumn("ts", F.timestamp_seconds(F.col("turn") * 60 + STREAM_START))
+    chat = stream_chat_turns(turns, stream_contexts(contexts(spark, d)), event_time="ts")
+    return run_available(chat, "chat-contexts").select("conv_id", "turn", "prompt")
+
+
 STREAM_START = 1_577_836_800  # event times must lie after the initial watermark
 
 
@@ -555,11 +574,11 @@ def _message_stream(spark, d):
     turns = stream_table(spark, d, "conversations").where(F.col("role") != "system")
     conv, turn = F.col("conv_id"), F.col("turn")
     return turns.select(
-        (conv * 100 + turn).alias("tweet_id"),
+        (conv * TURN_KEYS + turn).alias("tweet_id"),
         F.concat(F.lit("company_"), (conv % 5).cast("string")).alias("author_id"),
         (F.col("role") == "user").alias("inbound"),
         F.col("text").alias("cleaned_text"),
-        F.when(turn > 0, conv * 100 + turn - 1).alias("in_response_to_tweet_id"),
+        F.when(turn > 0, conv * TURN_KEYS + turn - 1).alias("in_response_to_tweet_id"),
         F.timestamp_seconds(turn * 60 + STREAM_START).alias("ts"),
     )
 

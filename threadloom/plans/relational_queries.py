@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from threadloom.constants import MAX_TOKENS
 from threadloom.functions.training import encode_examples
 from threadloom.functions.context import plain_prompt
 from threadloom.functions.text import frequency_words
@@ -13,6 +14,7 @@ from threadloom.plans.views import (
     COMPANIES,
     PAIRS_CTE,
     SEED,
+    TURN_KEYS,
     TWEETS_SQL,
     q,
     table,
@@ -171,13 +173,13 @@ judged AS (
 
 @register(
     "gibberish_gate",
-    f"""WITH items AS (SELECT conv_id * 100 + turn AS item, text FROM conversations),
+    f"""WITH items AS (SELECT conv_id * 4294967296 + turn AS item, text FROM conversations),
     {gibberish_sql("items", "item", 5.0)}
     SELECT item, n_words, CAST(n_common AS BIGINT) AS n_common, verdict FROM judged""",
 )
 def gibberish_gate_query(spark, d):
     items = table(spark, d, "conversations").select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("item"), "text"
+        (F.col("conv_id") * TURN_KEYS + F.col("turn")).alias("item"), "text"
     )
     frequencies = scoring.word_frequency(table(spark, d, "documents"))
     return scoring.gibberish_gate(items, frequencies, "item", min_zipf=5.0).select(
@@ -215,17 +217,17 @@ def lexicon(spark, d):
     "sentiment",
     f"""WITH {_LEXICON_SQL},
     positioned AS (
-      SELECT conv_id * 100 + turn AS item, unnest(range(1, len(ws) + 1)) AS i, ws
+      SELECT conv_id * 4294967296 + turn AS item, unnest(range(1, len(ws) + 1)) AS i, ws
       FROM (SELECT conv_id, turn, {tokens_sql("text")} AS ws FROM conversations)),
     hits AS (
       SELECT item, polarity * CASE WHEN i > 1 AND ws[i - 1] IN ('in', 'der', 'la', 'not') THEN -0.5 ELSE 1.0 END AS p
       FROM positioned JOIN lexicon ON lexicon.word = ws[i])
-    SELECT conv_id * 100 + turn AS item, round(coalesce(avg(p), 0.0), 6) AS sentiment
-    FROM conversations LEFT JOIN hits ON hits.item = conv_id * 100 + turn GROUP BY 1""",
+    SELECT conv_id * 4294967296 + turn AS item, round(coalesce(avg(p), 0.0), 6) AS sentiment
+    FROM conversations LEFT JOIN hits ON hits.item = conv_id * 4294967296 + turn GROUP BY 1""",
 )
 def sentiment_query(spark, d):
     items = table(spark, d, "conversations").select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("item"), "text"
+        (F.col("conv_id") * TURN_KEYS + F.col("turn")).alias("item"), "text"
     )
     words = stages.cut_lineage(lexicon(spark, d))
     scored = scoring.sentiment(items, words, "item", negators=("in", "der", "la", "not"))
@@ -297,9 +299,8 @@ def language_id_query(spark, d):
     f"WITH {LANGUAGE_SQL} SELECT doc_id, text FROM documents JOIN labelled USING (doc_id) WHERE language = 'en'",
 )
 def english_filter_query(spark, d):
-    return language.english_filter(
-        table(spark, d, "documents").select("doc_id", "text"), detected_languages(spark, d), "doc_id"
-    )
+    docs = table(spark, d, "documents")
+    return language.english_filter(docs.select("doc_id", "text"), language.fit_language_profiles(docs))
 
 
 # --- vocabulary and arrays ----------------------------------------------------------------
@@ -316,7 +317,7 @@ def build_vocab_query(spark, d):
 @register(
     "tokenize_ids",
     f"""WITH {VOCAB_SQL}, placed AS (
-      SELECT conv_id * 100 + turn AS item, ws[i] AS token, i FROM (
+      SELECT conv_id * 4294967296 + turn AS item, ws[i] AS token, i FROM (
         SELECT conv_id, turn, ws, unnest(range(1, len(ws) + 1)) AS i
         FROM (SELECT conv_id, turn, {tokens_sql("text")} AS ws FROM conversations)))
     SELECT item, string_agg(CAST(coalesce(token_id, 2) AS VARCHAR), ' ' ORDER BY i) AS ids
@@ -324,7 +325,7 @@ def build_vocab_query(spark, d):
 )
 def tokenize_ids_query(spark, d):
     items = table(spark, d, "conversations").select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("item"), "text"
+        (F.col("conv_id") * TURN_KEYS + F.col("turn")).alias("item"), "text"
     )
     words = vocab.build_vocab(table(spark, d, "documents"))
     return vocab.tokenize_ids(items, words, "item").select(
@@ -373,7 +374,7 @@ def encode_examples_query(spark, d):
             )
         ).alias("x")
     ).select("x.key", "x.text")
-    ids = vocab.tokenize_ids(parts, words, "key")
+    ids = vocab.tokenize_ids(parts, words, "key", max_ids=MAX_TOKENS)
     sides = ids.groupBy("key.reply_id").agg(
         F.max_by("ids", F.when(F.col("key.part") == "i", 1)).alias("src"),
         F.max_by("ids", F.when(F.col("key.part") == "t", 1)).alias("tgt"),

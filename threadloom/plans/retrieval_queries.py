@@ -9,6 +9,7 @@ from threadloom.plans.registry import register
 from threadloom.plans.text_queries import training_pairs
 from threadloom.plans.views import (
     KB_SQL,
+    TURN_KEYS,
     MESSAGES_SQL,
     PAIRS_CTE,
     kb,
@@ -169,8 +170,8 @@ def retrieve_best_gated_query(spark, d):
 
 # --- retrieved training rows ----------------------------------------------------------
 _TRAIN_SQL = f"""WITH {PAIRS_CTE}, {KB_SQL},
-asked AS (SELECT reply_id, CASE WHEN tweet_id % 100 < 2 THEN embedding ELSE list_reverse(embedding) END AS embedding
-  FROM pairs JOIN embeddings ON vec_id = tweet_id // 100),
+asked AS (SELECT reply_id, CASE WHEN tweet_id % 4294967296 < 2 THEN embedding ELSE list_reverse(embedding) END AS embedding
+  FROM pairs LEFT JOIN embeddings ON vec_id = tweet_id // 4294967296),
 {sql_ranked("asked", "reply_id", "kb", "chunk_id")},
 best AS (SELECT query_id, CASE WHEN score > 0.5 THEN text ELSE '' END AS context
   FROM ranked JOIN kb USING (chunk_id) WHERE rank = 1)
@@ -182,7 +183,7 @@ FROM pairs JOIN asked USING (reply_id) LEFT JOIN best ON query_id = reply_id"""
 
 def asked_pairs(spark, d):
     pairs = training_pairs(spark, d)
-    return vectors_of(pairs, spark, d, F.expr("tweet_id div 100"), F.col("tweet_id") % 100 < 2)
+    return vectors_of(pairs, spark, d, F.expr(f"tweet_id div {TURN_KEYS}L"), F.col("tweet_id") % TURN_KEYS < 2)
 
 
 @register("raft_training_rows", _TRAIN_SQL)

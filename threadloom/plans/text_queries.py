@@ -13,6 +13,7 @@ from threadloom.plans.views import (
     CONTEXTS_SQL,
     NOISY_SQL,
     PAIRS_CTE,
+    TURN_KEYS,
     TWEETS_SQL,
     attempts,
     ATTEMPTS_SQL,
@@ -354,7 +355,7 @@ def dirty_answers(spark, d):
     kind = F.col("conv_id") % 6
     text = F.col("text")
     return table(spark, d, "conversations").select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("answer_id"),
+        (F.col("conv_id") * TURN_KEYS + F.col("turn")).alias("answer_id"),
         F.when(kind == 0, F.concat(F.lit("[user] "), text, F.lit(" -EmmaW")))
         .when(kind == 1, F.concat(text, F.lit(" ABC DEF GHI stop. Yes it is. And this one stays here! tail")))
         .when(kind == 2, F.concat(F.lit("sooooooooo "), text, F.lit(" !!!!!!!")))
@@ -365,7 +366,7 @@ def dirty_answers(spark, d):
     )
 
 
-DIRTY_SQL = f"dirty AS (SELECT conv_id * 100 + turn AS answer_id, {_DIRTY} AS text FROM conversations)"
+DIRTY_SQL = f"dirty AS (SELECT conv_id * 4294967296 + turn AS answer_id, {_DIRTY} AS text FROM conversations)"
 _TAGLESS = sql_re("coalesce(text, '')", r"(?i)\[USER\]", "")
 
 

@@ -21,13 +21,13 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "conversations")
         .where(F.col("role") != "system")
         .select(
-            (conv * 100 + F.col("turn")).alias("tweet_id"),
+            (conv * TURN_KEYS + F.col("turn")).alias("tweet_id"),
             F.when(F.col("role") == "user", F.concat(F.lit("user_"), conv.cast("string")))
             .otherwise(F.concat(F.lit("company_"), (conv % 5).cast("string")))
             .alias("author_id"),
             (F.col("role") == "user").alias("inbound"),
             "text",
-            F.when(F.col("turn") > 0, conv * 100 + F.col("turn") - 1).alias(
+            F.when(F.col("turn") > 0, conv * TURN_KEYS + F.col("turn") - 1).alias(
                 "in_response_to_tweet_id"
             ),
         )
@@ -36,7 +36,7 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages with one of nine kinds of dirt each."""
-    kind = (F.col("tweet_id") + F.expr("tweet_id div 100")) % 9
+    kind = (F.col("tweet_id") + F.expr(f"tweet_id div {TURN_KEYS}L")) % 9
     text = F.col("text")
     dirty = (
         F.when(kind == 0, text)
@@ -53,12 +53,12 @@ def noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TWEETS_SQL = """
 tweets AS (
-  SELECT conv_id * 100 + turn AS tweet_id,
+  SELECT conv_id * 4294967296 + turn AS tweet_id,
          CASE WHEN role = 'user' THEN concat('user_', CAST(conv_id AS VARCHAR))
               ELSE concat('company_', CAST(conv_id % 5 AS VARCHAR)) END AS author_id,
          role = 'user' AS inbound,
          text,
-         CASE WHEN turn > 0 THEN conv_id * 100 + turn - 1 END AS in_response_to_tweet_id
+         CASE WHEN turn > 0 THEN conv_id * 4294967296 + turn - 1 END AS in_response_to_tweet_id
   FROM conversations WHERE role <> 'system'
 )"""
 
@@ -67,7 +67,7 @@ NOISY_SQL = (
     + """,
 noisy AS (
   SELECT tweet_id, author_id, inbound, in_response_to_tweet_id,
-    CASE CAST((tweet_id + (tweet_id // 100)) % 9 AS INT)
+    CASE CAST((tweet_id + (tweet_id // 4294967296)) % 9 AS INT)
       WHEN 0 THEN text
       WHEN 1 THEN concat('@Bob_1 ', text)
       WHEN 2 THEN concat(text, ' see http://x.example/a?b=1 now')
@@ -83,6 +83,10 @@ noisy AS (
 
 
 # --- SQL text expressions ----------------------------------------------------
+# Turns a conversation may have in a key made of both.
+TURN_KEYS = 1 << 32
+
+
 def q(text: str) -> str:
     """A SQL string literal."""
     return "'" + text.replace("'", "''") + "'"
@@ -213,7 +217,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer turns as queries with a vector."""
     users = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
     return vectors_of(users, spark, sf_dir, F.col("conv_id"), F.col("turn") < 2).select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("query_id"),
+        (F.col("conv_id") * TURN_KEYS + F.col("turn")).alias("query_id"),
         "conv_id",
         "turn",
         F.col("text").alias("message"),
@@ -223,7 +227,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MESSAGES_SQL = """
 messages AS (
-  SELECT conv_id * 100 + turn AS query_id, conv_id, turn, text AS message,
+  SELECT conv_id * 4294967296 + turn AS query_id, conv_id, turn, text AS message,
          CASE WHEN turn < 2 THEN embedding ELSE list_reverse(embedding) END AS embedding
   FROM conversations LEFT JOIN embeddings ON conv_id = vec_id WHERE role = 'user'
 )"""

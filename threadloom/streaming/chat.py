@@ -89,3 +89,17 @@ def stream_chat_turns(turns: DataFrame, retrieve=None, event_time: str | None =
         F.col("history"),
     )
     return messages.withColumn("prompt", F.when(~F.col("closed"), prompt))
+
+
+def stream_contexts(found: DataFrame, key: str = "conv_id"):
+    """A ``retrieve`` for ``stream_chat_turns``: joins the messages with a table of contexts per ``key``.
+
+    ``found`` is a static side, read anew by each trigger and so as fresh as its files; messages without a row have no contexts.
+    """
+
+    def retrieve(messages: DataFrame) -> DataFrame:
+        none = F.array().cast("array<string>")
+        joined = messages.join(found.select(key, F.col("contexts").alias("_found")), key, "left")
+        return joined.withColumn("contexts", F.coalesce("_found", none)).drop("_found")
+
+    return retrieve
