@@ -84,6 +84,25 @@ def test_many_shards_merge_to_the_same_rows(spark, monkeypatch):
     assert oracle.difference(got, oracle.connect(sf_dir), topk.oracle_sql()) is None
 
 
+def test_a_chain_gives_k_rows_a_query(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_DOCS", 15)
+    monkeypatch.setattr(topk, "CHAINS", 2)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").coalesce(4)
+    searched = []
+    usual = type(docs).mapInArrow
+
+    def watched(df, fn, schema, *rest):
+        out = usual(df, fn, schema, *rest)
+        if schema.startswith("query_id"):
+            searched.append(out)
+        return out
+
+    monkeypatch.setattr(type(docs), "mapInArrow", watched)
+    topk.search_top_k(docs, F.expr(FIRST))
+    rows = searched[0].groupBy("query_id").count().collect()
+    assert rows and all(r["count"] <= 2 * topk.TOP for r in rows)
+
+
 def test_rows_repeated_more_than_k_times_leave_room(spark):
     rows = [(0, "apple pear plum fig")] + [(1, "apple pear plum fig")] * 15 + [(2, "apple pear plum")] * 3
     rows += [(i, "apple " + "kiwi " * i) for i in range(3, 18)] + [(100 + i, "nothing here") for i in range(1, 40)]

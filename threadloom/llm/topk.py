@@ -373,8 +373,9 @@ def search_top_k(docs: DataFrame, is_query: Column, k: int = TOP, folder: str |
     numbered = files.select("path", (F.row_number().over(Window.orderBy("path")) - 1).alias("shard"))
     shards = files.count()
     order = F.row_number().over(Window.orderBy("block")) - 1  # a row for each file of queries
+    ordered = blocks.select("block", (order * CHAINS).alias("_group"))
     tasks = (
-        blocks.select("block", (order * CHAINS).alias("_group"), F.explode(F.sequence(F.lit(0), F.lit(max(shards, 1) - 1))).alias("shard"))
+        ordered.select("block", "_group", F.explode(F.sequence(F.lit(0), F.lit(max(shards, 1) - 1))).alias("shard"))
         .join(numbered, "shard")
         .withColumn("chain", F.col("shard") % CHAINS)
     )
