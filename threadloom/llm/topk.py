@@ -33,6 +33,7 @@ QUERY_BLOCK = 1_024
 CHAINS = 4  # of shards, for each block of queries
 FIRST_TERMS = 16
 NOMINEES_AT_ONCE = 24
+PIVOT_SHARE = 0.25  # of the floor: what terms that nominate no document reach together at most
 MARGIN = 1e-6  # more than rounding can move a sum
 DIGITS = 9  # scores are compared after rounding, so that the order of sums does not decide ties
 
@@ -204,9 +205,10 @@ class Shard:
             taken = np.argsort(-partial, kind="stable")[: 2 * k]
             taken = taken[partial[taken] > 0]
             floor = take(taken, self._scores(taken, at, idf))
-        pivot = int(np.searchsorted(reach, floor, side="left"))
-        if pivot == len(at):
+        if not len(at) or reach[-1] < floor:
             return best
+        # Any pivot below the floor is exact; a lower one reads more postings and leaves tighter bounds.
+        pivot = int(np.searchsorted(reach, PIVOT_SHARE * floor, side="left"))
         runs, weights, large = self._runs(at[pivot:], idf[pivot:])
         small = self._runs(at[:pivot], idf[:pivot])[2]
         live = (large + small >= floor)[self.block_of[runs]]
