@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.vectors import cosine_similarity
 from threadloom.operators import retrieval as rt
-from threadloom.operators.embedding import embed_tfidf
+from threadloom.operators import knowledge
+from threadloom.operators.chunking import chunk_paragraphs
+from threadloom.operators.embedding import HashedEmbedder, embed_tfidf
 from threadloom.plans.registry import register
 from threadloom.plans.text_queries import training_pairs
 from threadloom.plans.views import (
@@ -14,8 +16,10 @@ from threadloom.plans.views import (
     PAIRS_CTE,
     kb,
     messages,
+    sql_strip,
     sql_user_prefix,
     table,
+    tokens_sql,
     vectors_of,
 )
 from threadloom.constants import WORD
@@ -206,3 +210,111 @@ def embed_tfidf_query(spark, d):
     return embedded.select(
         "doc_id", F.size("embedding").alias("dims"), F.round(F.sqrt(squares), 5).alias("norm")
     )
+
+
+def sql_tfidf(texts: str, key: str, name: str, fitted: str, dims: int = 512) -> str:
+    """CTEs: ``name`` holds ``key, bucket, w``, the unit weights of ``texts`` other than 0.
+
+    ``fitted`` are the texts (``key, text``) that the model was fitted on.
+    """
+
+    def counted(source):
+        return f"""(SELECT {key}, CAST(concat('0x', substring(md5(word), 1, 8)) AS BIGINT) % {dims} AS bucket, count(*) AS tf
+      FROM (SELECT {key}, unnest({tokens_sql("text")}) AS word FROM {source}) GROUP BY ALL)"""
+
+    return f"""{name}_idf AS (
+      SELECT bucket, ln((n + 1.0::DOUBLE) / (coalesce(docs, 0) + 1)) AS idf
+      FROM (SELECT unnest(range({dims})) AS bucket) CROSS JOIN (SELECT count(*) AS n FROM {fitted})
+      LEFT JOIN (SELECT bucket, count(*) AS docs FROM {counted(fitted)} GROUP BY bucket) USING (bucket)),
+    {name} AS (
+      SELECT {key}, bucket, w / sqrt(sum(w * w) OVER (PARTITION BY {key})) AS w
+      FROM (SELECT {key}, bucket, tf * idf AS w FROM {counted(texts)} JOIN {name}_idf USING (bucket)) WHERE w <> 0)"""
+
+
+@register(
+    "embed_hashed_tfidf",
+    f"""WITH texts AS (SELECT doc_id, text FROM documents), {sql_tfidf("texts", "doc_id", "weights", "texts")}
+    SELECT doc_id, coalesce(found, CAST([] AS BIGINT[])) AS buckets, coalesce(ws, CAST([] AS DOUBLE[])) AS weights
+    FROM documents LEFT JOIN (
+      SELECT doc_id, list(bucket ORDER BY bucket) AS found, list(round(w, 6) ORDER BY bucket) AS ws
+      FROM weights GROUP BY doc_id) USING (doc_id)""",
+)
+def embed_hashed_tfidf_query(spark, d):
+    """Fitted on all documents, saved, loaded again: buckets and weights of every document."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    path = stages.scratch_path(spark, "embedder")
+    HashedEmbedder.fit(docs).save(spark, path)
+    weight = HashedEmbedder.load(spark, path).weights(F.col("text"))
+    places = F.transform("_w", lambda w, i: F.struct(i.cast("long").alias("b"), w.alias("w")))
+    held = F.filter(places, lambda p: p["w"] != 0)
+    return (
+        docs.withColumn("_w", weight)
+        .withColumn("_held", held)
+        .select(
+            "doc_id",
+            F.col("_held.b").alias("buckets"),
+            F.transform("_held.w", lambda w: F.round(w, 6)).alias("weights"),
+        )
+    )
+
+
+# --- knowledge base from texts ----------------------------------------------------------
+def _spaced(spark, d):
+    return table(spark, d, "documents").withColumn("text", F.replace("text", F.lit("\n"), F.lit("\n\n")))
+
+
+def stored_documents(spark, d) -> str:
+    """The path of a knowledge base: built from the English documents, then all are delivered."""
+    path = stages.scratch_path(spark, "kb-texts")
+    docs = _spaced(spark, d)
+    knowledge.kb_build(docs.where(F.col("lang") == "en"), path, chunk_paragraphs)
+    knowledge.kb_append(docs, path, chunk_paragraphs)
+    return path
+
+
+_STORED_SQL = f"""delivered AS (
+      SELECT source, lang, replace(text, chr(10), concat(chr(10), chr(10))) AS text FROM documents WHERE text IS NOT NULL),
+    stored AS (
+      SELECT sha256(concat(coalesce(concat(CAST(length(source) AS VARCHAR), ':', source), '-:'), text)) AS doc_hash,
+        source, text, bool_or(coalesce(lang = 'en', FALSE)) AS built
+      FROM delivered GROUP BY source, text),
+    pieces AS (
+      SELECT doc_hash, source, built, list_filter(list_transform(string_split(text, concat(chr(10), chr(10))),
+        lambda p: {sql_strip("p")}), lambda p: length(p) > 40) AS ps FROM stored),
+    chunks AS (
+      SELECT concat(doc_hash, ':', CAST(i - 1 AS VARCHAR)) AS chunk_id, doc_hash, source, built, CAST(i - 1 AS INTEGER) AS chunk_idx, ps[i] AS text
+      FROM (SELECT *, unnest(range(1, len(ps) + 1)) AS i FROM pieces)),
+    built AS (SELECT chunk_id, text FROM chunks WHERE built)"""
+
+
+@register(
+    "kb_from_texts",
+    f"WITH {_STORED_SQL} SELECT doc_hash, source, chunk_idx, text FROM chunks",
+)
+def kb_from_texts_query(spark, d):
+    """The chunks stored after a build and an incremental delivery."""
+    chunks = knowledge.kb_chunks(spark, stored_documents(spark, d))
+    return chunks.select("doc_hash", "source", "chunk_idx", "text")
+
+
+@register(
+    "kb_search_texts",
+    f"""WITH {_STORED_SQL}, {sql_tfidf("chunks", "chunk_id", "stored_w", "built")},
+    {MESSAGES_SQL}, asked AS (SELECT query_id AS chunk_id, message AS text FROM messages),
+    {sql_tfidf("asked", "chunk_id", "asked_w", "built")},
+    a AS (SELECT chunk_id AS query_id, bucket, CAST(CAST(w AS FLOAT) AS DOUBLE) AS w FROM asked_w),
+    b AS (SELECT chunk_id, bucket, CAST(CAST(w AS FLOAT) AS DOUBLE) AS w FROM stored_w),
+    scored AS (
+      SELECT query_id, chunk_id, round(dot / any_value(p.n) / any_value(r.n), 12) AS score FROM (
+        SELECT query_id, chunk_id, sum(a.w * b.w) AS dot FROM a JOIN b USING (bucket) GROUP BY ALL)
+      JOIN (SELECT query_id, sqrt(sum(w * w)) AS n FROM a GROUP BY query_id) p USING (query_id)
+      JOIN (SELECT chunk_id, sqrt(sum(w * w)) AS n FROM b GROUP BY chunk_id) r USING (chunk_id)
+      GROUP BY query_id, chunk_id, dot),
+    ranked AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+    SELECT query_id, rank, chunk_id, round(score, 6) AS score, text FROM ranked JOIN chunks USING (chunk_id) WHERE rank <= 3""",
+)
+def kb_search_texts_query(spark, d):
+    """Every customer turn against all chunks of the stored knowledge base."""
+    asked = messages(spark, d).select("query_id", "message")
+    return knowledge.kb_search(asked, stored_documents(spark, d)).withColumn("score", F.round("score", 6))
