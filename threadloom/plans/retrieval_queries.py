@@ -244,17 +244,11 @@ def embed_hashed_tfidf_query(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     path = stages.scratch_path(spark, "embedder")
     HashedEmbedder.fit(docs).save(spark, path)
-    weight = HashedEmbedder.load(spark, path).weights(F.col("text"))
-    places = F.transform("_w", lambda w, i: F.struct(i.cast("long").alias("b"), w.alias("w")))
-    held = F.filter(places, lambda p: p["w"] != 0)
-    return (
-        docs.withColumn("_w", weight)
-        .withColumn("_held", held)
-        .select(
-            "doc_id",
-            F.col("_held.b").alias("buckets"),
-            F.transform("_held.w", lambda w: F.round(w, 6)).alias("weights"),
-        )
+    vector = HashedEmbedder.load(spark, path).sparse(F.col("text"), "double")
+    return docs.select("doc_id", vector.alias("v")).select(
+        "doc_id",
+        F.col("v.buckets").cast("array<long>").alias("buckets"),
+        F.transform("v.weights", lambda w: F.round(w, 6)).alias("weights"),
     )
 
 
