@@ -17,42 +17,32 @@ def _uniform(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
-def augment_params(images: DataFrame, seed) -> DataFrame:
-    """One row per image and variant with the drawn parameters (NULL where unused)."""
-    variants = F.array(*[F.lit(v) for v in VARIANTS])
+def _drawn(aug: Column, seed) -> dict[str, Column]:
+    """The parameters of one variant, NULL where it uses none."""
 
     def draw(what: str, lo, span) -> Column:
-        key = F.concat_ws(":", "origin", "aug", F.lit(what), F.lit(str(seed)))
+        key = F.concat_ws(":", F.col("origin"), aug, F.lit(what), F.lit(str(seed)))
         return _uniform(key) * span + lo
 
     def only(value: Column, *names: str) -> Column:
-        return F.when(F.col("aug").isin(*names), value)
+        return F.when(aug.isin(*names), value)
 
     side = F.floor(F.least("width", "height") * F.lit(CROP_SHARE)).cast("int")
-    return (
-        images.withColumn("aug", F.explode(variants))
-        .withColumn(
-            "factor",
-            only(
-                F.round(draw("factor", FACTOR_RANGE[0], FACTOR_RANGE[1] - FACTOR_RANGE[0]), 6),
-                "bright",
-                "contrast",
-            ),
-        )
-        .withColumn(
-            "angle",
-            only(F.round(draw("angle", ANGLE_RANGE[0], ANGLE_RANGE[1] - ANGLE_RANGE[0]), 6), "rotated"),
-        )
-        .withColumn("size", only(side, "cropped"))
-        .withColumn(
-            "left",
-            only(F.floor(draw("left", 0, F.col("width") - side + 1)).cast("int"), "cropped"),
-        )
-        .withColumn(
-            "top",
-            only(F.floor(draw("top", 0, F.col("height") - side + 1)).cast("int"), "cropped"),
-        )
-    )
+    factor = F.round(draw("factor", FACTOR_RANGE[0], FACTOR_RANGE[1] - FACTOR_RANGE[0]), 6)
+    angle = F.round(draw("angle", ANGLE_RANGE[0], ANGLE_RANGE[1] - ANGLE_RANGE[0]), 6)
+    return {
+        "factor": only(factor, "bright", "contrast"),
+        "angle": only(angle, "rotated"),
+        "size": only(side, "cropped"),
+        "left": only(F.floor(draw("left", 0, F.col("width") - side + 1)).cast("int"), "cropped"),
+        "top": only(F.floor(draw("top", 0, F.col("height") - side + 1)).cast("int"), "cropped"),
+    }
+
+
+def augment_params(images: DataFrame, seed) -> DataFrame:
+    """One row per image and variant with the drawn parameters (NULL where unused)."""
+    variants = F.array(*[F.lit(v) for v in VARIANTS])
+    return images.withColumn("aug", F.explode(variants)).withColumns(_drawn(F.col("aug"), seed))
 
 
 def _to_byte(values: np.ndarray) -> np.ndarray:
@@ -102,40 +92,50 @@ def _crop(pixels: np.ndarray, left: int, top: int, size: int) -> np.ndarray:
     return pixels[rows][:, cols]
 
 
-def _variant(row) -> np.ndarray:
-    pixels = np.frombuffer(row.data, dtype=np.uint8).reshape(row.height, row.width, row.nChannels)
-    match row.aug:
+def _variant(pixels: np.ndarray, plan: dict) -> np.ndarray:
+    match plan["aug"]:
         case "bright":
-            return _recolour(pixels, lambda p: _bright(p, row.factor))
+            return _recolour(pixels, lambda p: _bright(p, plan["factor"]))
         case "contrast":
-            return _recolour(pixels, lambda p: _contrast(p, row.factor))
+            return _recolour(pixels, lambda p: _contrast(p, plan["factor"]))
         case "flipped":
             return pixels[:, ::-1]
         case "rotated":
-            return _rotate(pixels, row.angle)
+            return _rotate(pixels, plan["angle"])
         case "cropped":
-            return _crop(pixels, int(row.left), int(row.top), int(row.size))
+            return _crop(pixels, int(plan["left"]), int(plan["top"]), int(plan["size"]))
     return pixels
 
 
 def augment_images(images: DataFrame, seed) -> DataFrame:
-    """The original and five variants per image, with the parameters used."""
+    """The original and five variants per image, with the parameters used.
+
+    Pixels travel to Python once per image, next to its five sets of parameters; a batch of
+    results holds the variants of one image.
+    """
     typed = images.select(*IMAGE.fieldNames())
-    plan = augment_params(typed, seed)
-    original = typed.select(
-        "*",
-        F.lit("original").alias("aug"),
-        *[F.lit(None).cast(plan.schema[c].dataType).alias(c) for c in ("factor", "angle", "size", "left", "top")],
+    shape = augment_params(typed, seed).schema
+    added = [f.name for f in shape.fields if f.name not in IMAGE.fieldNames()]
+    plans = F.array(
+        *[
+            F.struct(F.lit(v).alias("aug"), *[c.alias(n) for n, c in _drawn(F.lit(v), seed).items()])
+            for v in VARIANTS
+        ]
     )
-    schema = T.StructType(plan.schema.fields)
+    unused = [F.lit(None).cast(shape[c].dataType).alias(c) for c in added[1:]]
+    original = typed.select("*", F.lit("original").alias("aug"), *unused)
 
     def run(batches):
         for batch in batches:
-            pixels = [_variant(row) for row in batch.itertuples(index=False)]
-            yield batch.assign(
-                height=[p.shape[0] for p in pixels],
-                width=[p.shape[1] for p in pixels],
-                data=[p.tobytes() for p in pixels],
-            ).astype({"size": "Int32", "left": "Int32", "top": "Int32"})
-
-    return plan.mapInPandas(run, schema).unionByName(original)
+            for row in batch.itertuples(index=False):
+                pixels = np.frombuffer(row.data, dtype=np.uint8).reshape(row.height, row.width, row.nChannels)
+                out = []
+                for plan in row.plans:
+                    changed = _variant(pixels, plan)
+                    fixed = {"height": changed.shape[0], "width": changed.shape[1], "data": changed.tobytes()}
+                    out.append({**row._asdict(), **plan, **fixed})
+                table = pd.DataFrame(out).drop(columns="plans")
+                yield table.astype({"size": "Int32", "left": "Int32", "top": "Int32", "factor": float, "angle": float})
+
+    drawn = typed.withColumn("plans", plans).mapInPandas(run, T.StructType(shape.fields))
+    return drawn.unionByName(original)

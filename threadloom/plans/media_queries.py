@@ -137,12 +137,11 @@ reached AS (
   UNION SELECT dst, depth + 1 FROM reached JOIN edges ON src = node WHERE depth < 6)"""
 
 
-@register(
-    "crawl_frontier",
-    f"WITH RECURSIVE {_EDGES_SQL} SELECT node, min(depth) AS depth FROM reached GROUP BY node",
-)
-def crawl_frontier_query(spark, d):
-    """Six levels out of the first page, over page-to-page hops and extracted links."""
+_REACHED_SQL = f"WITH RECURSIVE {_EDGES_SQL} SELECT node, min(depth) AS depth FROM reached GROUP BY node"
+
+
+def page_graph(spark, d):
+    """Page-to-page hops and extracted links, and the first page."""
     pages = table(spark, d, "pages")
     size = pages.agg(F.count(F.lit(1))).scalar()
     page = F.col("page_id")
@@ -154,5 +153,19 @@ def crawl_frontier_query(spark, d):
     edges = hops.join(targets, "target").select("src", "dst").unionByName(
         links.extract_links(pages).select(F.col("page_url").alias("src"), F.col("href").alias("dst"))
     )
-    seeds = pages.agg(F.min_by("url", "page_id").alias("node"))
-    return links.crawl_frontier(stages.cut_lineage(edges), seeds, max_depth=6)
+    return stages.cut_lineage(edges), pages.agg(F.min_by("url", "page_id").alias("node"))
+
+
+@register("crawl_frontier", _REACHED_SQL)
+def crawl_frontier_query(spark, d):
+    """Six levels out of the first page, over page-to-page hops and extracted links."""
+    return links.crawl_frontier(*page_graph(spark, d), max_depth=6)
+
+
+@register("crawl_stored", _REACHED_SQL)
+def crawl_stored_query(spark, d):
+    """The same six levels, stored, in two calls."""
+    edges, seeds = page_graph(spark, d)
+    path = stages.scratch_path(spark, "crawl")
+    links.crawl_stored(edges, seeds, path, max_depth=3)
+    return links.crawl_stored(edges, seeds, path, max_depth=6)

@@ -9,17 +9,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.schemas import IMAGE
 
-IMAGE_FILE = r"(?i)\.(?:png|jpe?g)$"
+# Any case of .png, .jpg and .jpeg.
+IMAGE_FILE = "*.{[pP][nN][gG],[jJ][pP][gG],[jJ][pP][eE][gG]}"
 
 
 def scan_images(spark: SparkSession, path: str) -> DataFrame:
-    """Decoded ``.png/.jpg/.jpeg`` files of a folder; undecodable files are dropped."""
+    """Decoded ``.png/.jpg/.jpeg`` files of a folder; undecodable files are dropped.
+
+    Files of other names are left out before anything is read.
+    """
     return (
         spark.read.format("image")
         .option("dropInvalid", True)
+        .option("pathGlobFilter", IMAGE_FILE)
         .load(path)
         .select("image.*")
-        .where(F.col("origin").rlike(IMAGE_FILE))
         .select(*IMAGE.fieldNames())
     )
 
@@ -67,8 +71,12 @@ def _png(height: int, width: int, channels: int, data: bytes) -> bytes:
 def export_png(images: DataFrame, path: str, name_col: str = "out_name") -> None:
     """One ``.png`` file per image struct, written by the tasks into a shared folder.
 
-    A retried task writes the same files again.
+    A retried task writes the same files again. Names that stand for several images, which
+    would overwrite each other, are refused before anything is written.
     """
+    again = images.groupBy(F.col(name_col).alias("name")).count().where("count > 1").first()
+    if again is not None:
+        raise ValueError(f"{again['count']} images have the file name {again['name']}")
     uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
     filesystem, root = arrow_fs.FileSystem.from_uri(uri)
     filesystem.create_dir(root)
