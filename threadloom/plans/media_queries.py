@@ -162,10 +162,20 @@ def crawl_frontier_query(spark, d):
     return links.crawl_frontier(*page_graph(spark, d), max_depth=6)
 
 
-@register("crawl_stored", _REACHED_SQL)
+_SITES_SQL = _EDGES_SQL[: _EDGES_SQL.index("reached AS")] + """reached AS (
+  SELECT arg_min(url, page_id) AS node, 0 AS depth FROM pages GROUP BY array_to_string(string_split(url, '/')[1:3], '/')
+  UNION SELECT dst, depth + 1 FROM reached JOIN edges ON src = node WHERE depth < 12)"""
+
+
+@register(
+    "crawl_stored",
+    f"WITH RECURSIVE {_SITES_SQL} SELECT node, min(depth) AS depth FROM reached WHERE node IS NOT NULL GROUP BY node",
+)
 def crawl_stored_query(spark, d):
-    """The same six levels, stored, in two calls."""
-    edges, seeds = page_graph(spark, d)
+    """Twelve stored levels out of the first page of every site, in two calls."""
+    edges, _ = page_graph(spark, d)
+    first = F.min_by("url", "page_id").alias("node")
+    seeds = table(spark, d, "pages").groupBy(links.site_root(F.col("url"))).agg(first)
     path = stages.scratch_path(spark, "crawl")
-    links.crawl_stored(edges, seeds, path, max_depth=3)
-    return links.crawl_stored(edges, seeds, path, max_depth=6)
+    links.crawl_stored(edges, seeds, path, max_depth=5)
+    return links.crawl_stored(edges, seeds, path, max_depth=12)
