@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from threadloom.constants import CONTRACTIONS
 from threadloom.functions import answers, context, text as tx
 
@@ -35,6 +36,14 @@ def test_html_unescape_matches_stdlib(texts):
     assert texts(tx.html_unescape, cases) == wanted
 
 
+def test_only_references_travel_to_python(spark, texts):
+    odd = ["&amp" + "z" * 40 + ";&#10;&NewLine;\n&lt", "&#x1F600;&#0;&#xD800;&#99999999999;", "&&&;&#;&#x;&\x0bq; &é\U0001f600;", "a=1&b=2&copy=3", ""]
+    assert texts(tx.html_unescape, odd) == [html.unescape(t) for t in odd]
+    rows = spark.createDataFrame([("x" * 5000 + "&amp;y",)], "text string").select(tx.html_unescape(F.col("text")))
+    sent = [line for line in plan_of(rows).splitlines() if line.startswith("Arguments: [_decode")]
+    assert len(sent) == 1 and "regexp_extract_all" in sent[0], plan_of(rows)
+
+
 def test_mentions_and_prefix(texts):
     assert texts(tx.mask_mentions, ["hi @Éric_1 a@b.com @²x @"]) == ["hi [USER] a[USER].com [USER] @"]
     assert texts(tx.strip_user_prefix, ["USER: user, Users are", None, "USER", "a USER"]) == [
