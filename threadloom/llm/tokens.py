@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from threadloom.llm.common import text_bytes
 
 # A worker remembers up to twice so many chunks of at most _LONGEST characters, about 200 bytes each.
-_REMEMBERED = 500_000
+_REMEMBERED = 250_000
 _LONGEST = 64
 _BATCH = 4096
 
