@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import oracle
 from pyspark.sql import functions as F
@@ -64,6 +66,47 @@ def test_a_carried_floor_skips_blocks_and_keeps_the_best():
     assert halves[1].skipped > 0 and halves[1].evaluated < fresh.evaluated
 
 
+def test_many_queries_at_once_read_common_words_less_than_once_each():
+    """A tile of queries gives what scoring everything gives, and reads only the postings of words that are not common."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.2, 40) if x < 800) for _ in range(900)] + ["w1"] * 3
+    shard, terms, lengths = shard_of(texts)
+    df = Counter(w for t in terms for w in set(t.tolist()))
+    asked = [np.unique(terms[i]) for i in range(0, 900, 6)] + [np.zeros(0, np.int64)]
+    idf = [np.asarray([np.log((len(texts) - df[w] + 0.5) / (df[w] + 0.5) + 1) for w in t.tolist()]) for t in asked]
+    ids = list(range(0, 6 * len(asked), 6))
+    bounds = np.concatenate(([0], np.cumsum([len(t) for t in asked]))).tolist()
+    best = [(np.zeros(0, np.int64), np.zeros(0))] * len(asked)
+    shard.search_all(topk.Queries(ids, bounds, np.concatenate(asked), np.concatenate(idf)), 10, best)
+    tf = [Counter(t.tolist()) for t in terms]
+    norm = 1.2 * (0.25 + 0.75 * lengths / lengths.mean())
+    met = 0
+    for i, t, weight, (found, scores) in zip(ids, asked, idf, best, strict=True):
+        naive = []
+        for d in range(len(texts)):
+            hits = [(w, x) for w, x in zip(t.tolist(), weight, strict=True) if tf[d][w]]
+            met += len(hits)
+            s = round(sum(x * tf[d][w] * 2.2 / (tf[d][w] + norm[d]) for w, x in hits), 9)
+            naive += [(-s, d)] if s and d != i else []
+        wanted = sorted(naive)[:10]
+        assert np.allclose(scores, [-s for s, _ in wanted], rtol=0, atol=1e-8)
+        assert found.tolist() == [d for _, d in wanted]
+    assert len(asked) > topk.QUERY_TILE and 2 * shard.read < met
+
+
+def test_a_floor_that_no_block_reaches_leaves_the_best_as_they_are():
+    texts = [f"k{kind}a k{kind}a k{kind}b k{kind}c{i}" for kind in range(40) for i in range(32)]
+    shard, _, _ = shard_of(texts, block_docs=16)
+    query = np.unique(np.asarray([hash(f"k{kind}{x}") for kind in (3, 7) for x in "ab"], np.int64))
+    ids, scores = shard.search(-1, query, np.ones(4), 10)
+    carried = np.arange(5_000, 5_010), np.full(10, 1.5 * scores[0])
+    read = shard.evaluated
+    assert shard.gathered.any() and len(ids) == 10
+    same = shard.search(-1, query, np.ones(4), 10, carried)
+    assert same[0].tolist() == carried[0].tolist() and same[1].tolist() == carried[1].tolist()
+    assert shard.evaluated == read and shard.skipped > 0
+
+
 def test_odd_rows_and_tables(odd_documents, no_documents):
     got = topk.search_top_k(odd_documents, F.expr(FIRST))
     rows = got.collect()
